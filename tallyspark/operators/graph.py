@@ -209,7 +209,7 @@ def page_rank_fixed(edges: DataFrame, rounds: int) -> DataFrame:
     shuffles on both sides, which adaptive execution can split at a hub.
     """
     links = materialise(_rank_links(edges))
-    ranks = endpoints(links).withColumn("rank", F.lit(1.0))
+    ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
     for _ in range(rounds):
         ranks = materialise(_next_ranks(ranks, links))
     return ranks
@@ -263,7 +263,7 @@ def triangles(edges: DataFrame) -> DataFrame:
     of_b = lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
     shared = F.array_intersect("out", "out_b")
     return (
-        directed.join(of_b, "b")
+        skew_join(directed, of_b, "b")
         .join(lists, "a")
         .select("a", "b", F.explode(shared).alias("c"))
     )

@@ -45,13 +45,11 @@ def numbered(df: DataFrame, order: str, name: str = "rn") -> DataFrame:
 def contiguous_folds(df: DataFrame, order: str, folds: int = 5) -> DataFrame:
     """Fold 1..folds in contiguous blocks of equal size; the remainder goes to the last."""
     rows = numbered(df, order, "_rn")
-    size = F.floor(F.col("_total") / folds)
-    total = rows.agg(F.count("*").alias("_total"))
+    size = F.floor(rows.agg(F.count("*")).scalar() / folds)
     block = F.when(size == 0, F.lit(folds)).otherwise(
         F.least(F.floor((F.col("_rn") - 1) / F.greatest(size, F.lit(1))) + 1, F.lit(folds))
     )
-    # `total` is a single row
-    return rows.join(F.broadcast(total)).withColumn("fold", block.cast("int")).drop("_rn", "_total")
+    return rows.withColumn("fold", block.cast("int")).drop("_rn")
 
 
 def per_user_holdout(history: DataFrame, user: str, order: list[str], record: str, ranges: dict[str, tuple[int, int]]) -> DataFrame:

@@ -58,8 +58,9 @@ def qualified(people: DataFrame, scores: DataFrame, minimum: float) -> DataFrame
 
 
 def members_only(people: DataFrame, scores: DataFrame, minimum: float) -> DataFrame:
-    """The same selection as a membership test."""
-    return people.join(scores.where(F.col("score") > minimum), "user_id", "left_semi")
+    """The same selection as a membership test against the distinct users."""
+    high = scores.where(F.col("score") > minimum).select("user_id").distinct()
+    return people.join(high, "user_id", "left_semi")
 
 
 def floored_sum(df: DataFrame, key: str, value: str, floor: float) -> DataFrame:

@@ -6,10 +6,12 @@ movies(movie_id, title, genres), occupations(occupation_id, occupation).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sizes import checked_broadcast, top
+from .sizes import checked_broadcast, top, top_per_group
 
 
 
@@ -74,23 +76,42 @@ def most_popular(ratings: DataFrame, movies: DataFrame, n: int = 10) -> DataFram
     return with_titles(top(counts, n, F.desc("n"), F.asc("movie_id")), movies)
 
 
-def by_user_segment(ratings: DataFrame, users: DataFrame, segment: Column) -> DataFrame:
-    """Ratings given by the users of a segment."""
-    members = users.where(segment).select("user_id")
-    return ratings.join(checked_broadcast(members), "user_id", "left_semi")
+def by_group(ratings: DataFrame, users: DataFrame, column: str, groups: Sequence) -> DataFrame:
+    """Ratings by users of the given groups, with the group, in one pass for all groups."""
+    members = users.where(F.col(column).isin(*groups)).select("user_id", column)
+    return ratings.join(checked_broadcast(members), "user_id")
 
 
-def top_rated_by_group(ratings: DataFrame, users: DataFrame, movies: DataFrame, gender: str, n: int = 10) -> DataFrame:
-    """Highest mean rating within one gender; equal means go to the larger movie id."""
-    own = by_user_segment(ratings, users, F.col("gender") == gender)
-    best = top(movie_means(own), n, F.desc("mean_rating"), F.desc("movie_id"))
-    return with_titles(best, movies).withColumn("gender", F.lit(gender))
+def top_rated_by_group(
+    ratings: DataFrame, users: DataFrame, movies: DataFrame, column: str, groups: Sequence, n: int = 10
+) -> DataFrame:
+    """Highest mean rating within each group; equal means go to the larger movie id."""
+    means = (
+        by_group(ratings, users, column, groups)
+        .groupBy(column, "movie_id")
+        .agg(F.avg("rating").alias("mean_rating"), F.count("*").alias("n"))
+    )
+    best = top_per_group(means, [column], [F.desc("mean_rating"), F.desc("movie_id")], n)
+    return with_titles(best.drop("rank"), movies)
+
+
+def segment_topn(
+    ratings: DataFrame, users: DataFrame, movies: DataFrame, column: str, groups: Sequence, n: int = 10
+) -> DataFrame:
+    """Most rated movies of each group."""
+    counts = (
+        by_group(ratings, users, column, groups)
+        .groupBy(column, "movie_id")
+        .agg(F.count("*").alias("n"))
+    )
+    best = top_per_group(counts, [column], [F.desc("n"), F.asc("movie_id")], n)
+    return with_titles(best.drop("rank"), movies)
 
 
-def segment_topn(ratings: DataFrame, users: DataFrame, movies: DataFrame, age: int, n: int = 10) -> DataFrame:
-    """Most rated movies of one age group."""
-    own = by_user_segment(ratings, users, F.col("age") == age)
-    return most_popular(own, movies, n).withColumn("age", F.lit(age))
+def rated_by_members(ratings: DataFrame, users: DataFrame, segment: Column) -> DataFrame:
+    """Ratings given by the users of a segment, as a membership test."""
+    members = users.where(segment).select("user_id").distinct()
+    return ratings.join(checked_broadcast(members), "user_id", "left_semi")
 
 
 def latest_ratings(ratings: DataFrame, n: int = 10) -> DataFrame:

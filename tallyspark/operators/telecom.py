@@ -17,11 +17,10 @@ def ip_locations(ips: DataFrame, ranges: DataFrame, bucket_bits: int = 12) -> Da
     rows than that. Each range is listed under every bucket it touches and the join is an
     equi-join on the bucket. Where ranges overlap, the narrowest wins, then the lowest start.
     """
-    width = 1 << bucket_bits
     counted = ips.where(F.col("ip_num").isNotNull()).groupBy("ip_num").agg(F.count("*").alias("n"))
-    left = counted.withColumn("bucket", F.floor(F.col("ip_num") / width))
+    left = counted.withColumn("bucket", F.shiftright("ip_num", bucket_bits))
     right = ranges.withColumn(
-        "bucket", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor(F.col("hi") / width)))
+        "bucket", F.explode(F.sequence(F.shiftright("lo", bucket_bits), F.shiftright("hi", bucket_bits)))
     )
     inside = F.col("ip_num").between(F.col("lo"), F.col("hi"))
     best = F.min(F.struct((F.col("hi") - F.col("lo")).alias("width"), "lo", "location", "isp"))
@@ -85,11 +84,14 @@ def geo_enrich(traffic: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def classify_log(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines matching one of the known patterns, with the pattern's name and its measures."""
+    """Lines matching one of the known patterns, with the pattern's name and its measures.
+
+    Exploding the present kinds keeps the matching lines and tries the patterns once per line;
+    a filter on ``kind`` would make Spark try them again.
+    """
     line = F.col(column)
     return (
-        lines.withColumn("kind", text.log_kind(line))
-        .where(F.col("kind").isNotNull())
+        lines.withColumn("kind", F.explode(F.array_compact(F.array(text.log_kind(line)))))
         .withColumn("elapsed_ms", text.log_elapsed_ms(line))
         .withColumn("error_code", text.log_error_code(line))
     )
@@ -99,6 +101,7 @@ def word_count(lines: DataFrame, column: str = "value") -> DataFrame:
     """Words by falling frequency. Counts are merged per task before the shuffle."""
     return (
         lines.select(F.explode(text.words(F.col(column))).alias("word"))
+        .where(F.col("word") != "")
         .groupBy("word")
         .agg(F.count("*").alias("n"))
         .orderBy(F.desc("n"), F.asc("word"))

@@ -151,10 +151,10 @@ def ad_trend_batch(t):
 def ad_trend_stream(t):
     own = S.stream_session(t.spark)
     table = BatchTable(
-        t.spark, scratch_path(t.spark, "trend"), "ad_id bigint, window_end timestamp, n bigint", ["ad_id", "window_end"]
+        t.spark, scratch_path(t.spark, "trend"), "ad_id bigint, minute timestamp, n bigint", ["ad_id", "minute"]
     )
-    S.run_to_end(S.sliding_counts_to(table, t.click_stream(own), scratch_path(t.spark, "checkpoint")))
-    return C.with_time_parts(table.latest())
+    S.run_to_end(S.minute_counts_to(table, t.click_stream(own), scratch_path(t.spark, "checkpoint")))
+    return C.trend(table.latest())
 
 
 @query("ad_pipeline", f"WITH {CLICKS}, {TOP5} SELECT * FROM ranked WHERE rank <= 5")

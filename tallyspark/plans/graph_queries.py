@@ -8,14 +8,9 @@ from ..operators import graph as G
 from .registry import query
 
 EDGES = """
-anchor AS (SELECT l_orderkey, min(l_partkey) AS first FROM lineitem GROUP BY l_orderkey),
-linked AS (
-  SELECT first, l_partkey, (l_partkey + first) % 2 = 0 AS forward
-  FROM lineitem JOIN anchor USING (l_orderkey) WHERE l_partkey <> first),
 edges AS (
-  SELECT CASE WHEN forward THEN first ELSE l_partkey END AS src,
-         CASE WHEN forward THEN l_partkey ELSE first END AS dst, count(*) AS attr
-  FROM linked GROUP BY ALL),
+  SELECT l_partkey AS src, l_orderkey % (SELECT max(p_partkey) + 1 FROM part) AS dst, count(*) AS attr
+  FROM lineitem WHERE l_partkey <> l_orderkey % (SELECT max(p_partkey) + 1 FROM part) GROUP BY ALL),
 vertices AS (SELECT p_partkey AS id, p_name AS name, p_size AS age FROM part)
 """
 DEGREES = """

@@ -93,9 +93,8 @@ FROM ranked JOIN part ON p_partkey = movie_id WHERE rn <= 10
 """,
 )
 def top_rated_by_group(t):
-    men = ratings.top_rated_by_group(t.ratings, t.users, t.movies, "M")
-    women = ratings.top_rated_by_group(t.ratings, t.users, t.movies, "F")
-    return men.unionByName(women).withColumn("mean_rating", F.round("mean_rating", 6))
+    best = ratings.top_rated_by_group(t.ratings, t.users, t.movies, "gender", ["M", "F"])
+    return best.withColumn("mean_rating", F.round("mean_rating", 6))
 
 
 @query(
@@ -110,9 +109,20 @@ SELECT movie_id, n, p_name AS title, age FROM ranked JOIN part ON p_partkey = mo
 """,
 )
 def segment_topn(t):
-    young = ratings.segment_topn(t.ratings, t.users, t.movies, 18)
-    older = ratings.segment_topn(t.ratings, t.users, t.movies, 25)
-    return young.unionByName(older)
+    return ratings.segment_topn(t.ratings, t.users, t.movies, "age", [18, 25])
+
+
+@query(
+    "segment_members",
+    f"""
+WITH {RATINGS}
+SELECT movie_id, count(*) AS n, CAST(sum(rating) AS BIGINT) AS stars
+FROM ratings WHERE user_id IN (SELECT user_id FROM users WHERE age = 18) GROUP BY movie_id
+""",
+)
+def segment_members(t):
+    own = ratings.rated_by_members(t.ratings, t.users, F.col("age") == 18)
+    return own.groupBy("movie_id").agg(F.count("*").alias("n"), F.sum("rating").alias("stars"))
 
 
 @query(

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions import net
 from ..operators import clicks as C
-from ..operators.sizes import skew_join
 from ..session import configure, materialise
 from ..sources import readers
 
@@ -284,7 +283,7 @@ class Tables:
         """The seasons written once; the rating passes over them read the stored rows."""
         return materialise(self.seasons)
 
-    # graph: each order links its first part to its other parts
+    # graph: each line links its part to the part its order stands for
 
     @cached_property
     def vertices(self) -> DataFrame:
@@ -296,20 +295,14 @@ class Tables:
     def edges(self) -> DataFrame:
         """Distinct (src, dst) with the number of lines as ``attr``.
 
-        An order contributes one edge per further line, not one per pair of lines. The
-        direction follows the parity of the two keys.
+        An order stands for the part numbered by its key modulo the number of parts, so the
+        edges follow from one pass over the lines, one per line before they are counted.
         """
-        line = self.read("lineitem").select("l_orderkey", "l_partkey")
-        anchor = line.groupBy("l_orderkey").agg(
-            F.min("l_partkey").alias("first"), F.count("*").alias("n")
-        )
-        linked = skew_join(line, anchor, "l_orderkey", counts=anchor.select("l_orderkey", "n")).where(F.col("l_partkey") != F.col("first"))
-        forward = (F.col("l_partkey") + F.col("first")) % 2 == 0
+        parts = self.read("part").agg(F.max("p_partkey") + 1).scalar()
         return (
-            linked.select(
-                F.when(forward, F.col("first")).otherwise(F.col("l_partkey")).alias("src"),
-                F.when(forward, F.col("l_partkey")).otherwise(F.col("first")).alias("dst"),
-            )
+            self.read("lineitem")
+            .select(F.col("l_partkey").alias("src"), (F.col("l_orderkey") % parts).alias("dst"))
+            .where(F.col("src") != F.col("dst"))
             .groupBy("src", "dst")
             .agg(F.count("*").alias("attr"))
         )

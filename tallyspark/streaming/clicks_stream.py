@@ -45,10 +45,18 @@ def running_totals_to(table: BatchTable, clicks: DataFrame, checkpoint: str, eve
     return start(C.running_totals(clicks), table.write, checkpoint, "update", every)
 
 
+def minute_counts_to(table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
+    """Counts per (ad, minute), from which ``clicks.trend`` makes the sliding windows.
+
+    The state holds one row per minute instead of one per window a minute belongs to.
+    """
+    return start(C.minute_counts(clicks), table.write, checkpoint, "update", every)
+
+
 def sliding_counts_to(
     table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None, watermark: str | None = None
 ) -> StreamingQuery:
-    """Sliding 30-minute counts.
+    """Counts of Spark's own sliding windows.
 
     With a watermark a window is written once, when closed, and its state is dropped; clicks
     that arrive later than the watermark allows are not counted. Without one every click

@@ -56,6 +56,15 @@ def running_totals(clicks: DataFrame) -> DataFrame:
     return clicks.groupBy(*TOTAL_KEYS).agg(F.count("*").alias("n"))
 
 
+def running_totals_by_day(clicks: DataFrame) -> DataFrame:
+    """The same totals over one-day windows, whose state a watermark on ``ts`` can drop."""
+    return (
+        clicks.groupBy(F.window("ts", "1 day").alias("w"), "ad_id", "province", "city")
+        .agg(F.count("*").alias("n"))
+        .select(F.to_date("w.start").alias("day"), "ad_id", "province", "city", "n")
+    )
+
+
 def province_top(totals: DataFrame, n: int = 5) -> DataFrame:
     """Most clicked ads of each (day, province)."""
     by_province = totals.groupBy("day", "province", "ad_id").agg(F.sum("n").alias("n"))

@@ -15,10 +15,11 @@ BROADCAST_ROWS = 200_000
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else ``df`` as it is.
 
-    The count stops after ``max_rows + 1`` rows. Without the hint the join is a shuffle join,
-    whose oversized partitions adaptive execution splits.
+    Counting first costs one pass over the small side; it saves moving the large side when a
+    filter leaves little of a big table. Without the hint the join is a shuffle join, whose
+    oversized partitions adaptive execution splits.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 ROWS_PER_TASK = 1_000_000

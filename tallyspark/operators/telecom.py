@@ -9,21 +9,42 @@ from ..functions import geo, net, text
 
 
 
-def ip_locations(ips: DataFrame, ranges: DataFrame, bucket_bits: int = 12) -> DataFrame:
+RANGE_LEVELS = range(0, 33, 4)  # bits of a bucket's width
+
+
+def _bucket(number, level):
+    """Key of the bucket of width 2**level that holds ``number``."""
+    return F.shiftright(number, level) + F.lit(level * 2**40)
+
+
+def ip_locations(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     """Location of each distinct address: (ip_num, n, location, isp), unmatched ones left out.
 
-    ``ips`` has ``ip_num``; ``ranges`` has lo, hi (inclusive), location, isp. Equal addresses
-    are counted first, so a bucket of 2**bucket_bits neighbouring addresses never holds more
-    rows than that. Each range is listed under every bucket it touches and the join is an
-    equi-join on the bucket. Where ranges overlap, the narrowest wins, then the lowest start.
+    ``ips`` has ``ip_num``; ``ranges`` has lo, hi (inclusive), location, isp. Where ranges
+    overlap, the narrowest wins, then the lowest start.
+
+    The join is an equi-join on buckets. A range is listed under the buckets of the smallest
+    width that is not below its own, which are at most two; an address is looked up once per
+    width in use, of which there are at most nine. Equal addresses are counted before that, so
+    a frequent address is one row.
     """
+    sized = ranges.withColumn("width", F.col("hi") - F.col("lo") + 1)
+    level = F
+    for bits in RANGE_LEVELS:
+        level = level.when(F.col("width") <= 1 << bits, F.lit(bits))
+    sized = sized.withColumn("level", level)
+    used = sorted(r["level"] for r in sized.select("level").distinct().collect() if r["level"] is not None)
+    if not used:
+        used = [RANGE_LEVELS[0]]
     counted = ips.where(F.col("ip_num").isNotNull()).groupBy("ip_num").agg(F.count("*").alias("n"))
-    left = counted.withColumn("bucket", F.shiftright("ip_num", bucket_bits))
-    right = ranges.withColumn(
-        "bucket", F.explode(F.sequence(F.shiftright("lo", bucket_bits), F.shiftright("hi", bucket_bits)))
-    )
+    left = counted.withColumn("bucket", F.explode(F.array(*[_bucket("ip_num", b) for b in used])))
+    touched = F
+    for bits in used:
+        ends = F.array(_bucket("lo", bits), _bucket("hi", bits))
+        touched = touched.when(F.col("level") == bits, F.array_distinct(ends))
+    right = sized.withColumn("bucket", F.explode(touched))
     inside = F.col("ip_num").between(F.col("lo"), F.col("hi"))
-    best = F.min(F.struct((F.col("hi") - F.col("lo")).alias("width"), "lo", "location", "isp"))
+    best = F.min(F.struct("width", "lo", "location", "isp"))
     return (
         left.join(right, "bucket")
         .where(inside)
@@ -33,9 +54,9 @@ def ip_locations(ips: DataFrame, ranges: DataFrame, bucket_bits: int = 12) -> Da
     )
 
 
-def ip_location_counts(ips: DataFrame, ranges: DataFrame, bucket_bits: int = 12) -> DataFrame:
+def ip_location_counts(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     return (
-        ip_locations(ips, ranges, bucket_bits)
+        ip_locations(ips, ranges)
         .groupBy("location", "isp")
         .agg(F.sum("n").alias("n"))
     )

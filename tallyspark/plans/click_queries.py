@@ -157,8 +157,8 @@ def ad_trend_stream(t):
     return C.trend(table.latest())
 
 
-@query("ad_pipeline", f"WITH {CLICKS}, {TOP5} SELECT * FROM ranked WHERE rank <= 5")
-def ad_pipeline(t):
+@query("ad_click_job", f"WITH {CLICKS}, {TOP5} SELECT * FROM ranked WHERE rank <= 5")
+def ad_click_job(t):
     """The whole per-batch job over the stream; returns the stored province ranking.
 
     Its threshold is above any count in the data, so that the result does not depend on how
@@ -166,6 +166,6 @@ def ad_pipeline(t):
     """
     own = S.stream_session(t.spark)
     tables = S.new_tables(t.spark)
-    pipeline = S.ClickPipeline(tables, threshold=1_000_000_000)
-    S.run_to_end(pipeline.start(t.click_stream(own), scratch_path(t.spark, "checkpoint")))
+    job = S.ClickJob(tables, threshold=1_000_000_000)
+    S.run_to_end(job.start(t.click_stream(own), scratch_path(t.spark, "checkpoint")))
     return tables.top_ads.current()

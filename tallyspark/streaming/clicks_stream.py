@@ -17,6 +17,16 @@ from ..session import scratch_path
 from .sinks import BatchTable, KeySet, SliceTable
 
 
+# State on local disk with a change log, so that it may outgrow the executors' memory and a
+# batch uploads only what it changed.
+STATE_STORE = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def stream_session(spark: SparkSession) -> SparkSession:
     """A session whose state stores are as many as the cluster has cores.
 
@@ -25,6 +35,8 @@ def stream_session(spark: SparkSession) -> SparkSession:
     own = spark.newSession()
     for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
         own.conf.set(key, spark.conf.get(key))
+    for key, value in STATE_STORE.items():
+        own.conf.set(key, value)
     own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return own
 
@@ -40,9 +52,19 @@ def start(df: DataFrame, handler, checkpoint: str, mode: str = "append", every:
     return writer.start()
 
 
-def running_totals_to(table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Running totals per (day, ad, province, city), kept in the state store."""
-    return start(C.running_totals(clicks), table.write, checkpoint, "update", every)
+def running_totals_to(
+    table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None, watermark: str | None = None
+) -> StreamingQuery:
+    """Running totals per (day, ad, province, city), kept in the state store.
+
+    With a watermark the state of a day is dropped once the day is over for that long, and
+    clicks that come later are not counted.
+    """
+    if watermark:
+        totals = C.running_totals_by_day(clicks.withWatermark("ts", watermark))
+    else:
+        totals = C.running_totals(clicks)
+    return start(totals, table.write, checkpoint, "update", every)
 
 
 def minute_counts_to(table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -71,7 +93,7 @@ def sliding_counts_to(
 
 @dataclass
 class ClickTables:
-    """The tables the click pipeline maintains below one folder."""
+    """The tables the click job maintains below one folder."""
 
     spark: SparkSession
     path: str
@@ -99,7 +121,7 @@ class ClickTables:
 
 
 @dataclass
-class ClickPipeline:
+class ClickJob:
     """Per batch: drop black-listed users, count, extend the black list, re-rank, count minutes.
 
     The black list is read again for every batch. A click repeated within a batch (same time,
@@ -115,16 +137,19 @@ class ClickPipeline:
         before = F.col("batch") < batch_id
         kept = C.without_blacklisted(batch, t.blacklist.current(before)).persist()
         try:
+            # one row; stored batches of other days are skipped by their files' statistics
+            first, last = kept.agg(F.min("day"), F.max("day")).first()
+            recent = F.col("day").between(first, last)
             valid = C.valid_clicks(C.batch_counts(kept)).withColumn("day", F.to_date(F.timestamp_millis("ts_ms")))
             t.user_clicks.write(C.daily_user_counts(valid), batch_id)
             touched = valid.select("day", "user_id", "ad_id").distinct()
-            history = t.user_clicks.rows().join(touched, ["day", "user_id", "ad_id"], "left_semi")
+            history = t.user_clicks.rows(recent).join(touched, ["day", "user_id", "ad_id"], "left_semi")
             sums = history.groupBy("day", "user_id", "ad_id").agg(F.sum("n").alias("n"))
             t.blacklist.add(C.blacklisted(sums, self.threshold), batch_id)
 
             t.totals.write(C.running_totals(kept), batch_id)
             slices = checked_broadcast(kept.select("day", "province").distinct())
-            affected = t.totals.rows().join(slices, ["day", "province"], "left_semi")
+            affected = t.totals.rows(recent).join(slices, ["day", "province"], "left_semi")
             t.top_ads.replace(C.province_top(affected, self.top))
 
             t.per_minute.write(C.minute_counts(kept), batch_id)

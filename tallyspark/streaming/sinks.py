@@ -42,10 +42,8 @@ class BatchTable:
 
     def latest(self, where: Column | None = None) -> DataFrame:
         """Current rows when batches hold new values for the keys they touch."""
-        pick = F.max(F.struct("batch", *self.values)).alias("_last")
-        return self.rows(where).groupBy(*self.keys).agg(pick).select(
-            *self.keys, *[F.col(f"_last.{v}").alias(v) for v in self.values]
-        )
+        newest = [F.max_by(v, "batch").alias(v) for v in self.values]
+        return self.rows(where).groupBy(*self.keys).agg(*newest)
 
     def compacted(self, path: str, upto: int, increments: bool = True) -> BatchTable:
         """A new table at ``path`` whose batch ``upto`` holds the state up to that batch."""

@@ -1,5 +1,7 @@
 """Readers and writers on the small documented layouts."""
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -134,8 +136,7 @@ def test_ip_lookup(spark):
     ips = spark.createDataFrame([("024.000.012.005",), ("202.8.0.254",), ("024.000.015.105",)], "ip string")
     nums = ips.select(net.ip_to_long(F.col("ip")).alias("ip_num"))
     assert 402656261 in [r[0] for r in nums.collect()]
-    for bits in (4, 8, 12, 20):
-        assert rows(telecom.ip_location_counts(nums, ranges, bits)) == [("福建", "电信", 2)]
+    assert rows(telecom.ip_location_counts(nums, ranges)) == [("福建", "电信", 2)]
 
 
 def test_overlapping_ranges_narrowest_wins(spark):
@@ -144,10 +145,30 @@ def test_overlapping_ranges_narrowest_wins(spark):
         "lo long, hi long, location string, isp string",
     )
     ips = spark.createDataFrame([(5,), (12,), (17,), (24,), (5000,)], "ip_num long")
-    got = {r.ip_num: r.location for r in telecom.ip_locations(ips, ranges, 3).collect()}
+    got = {r.ip_num: r.location for r in telecom.ip_locations(ips, ranges).collect()}
     assert got == {5: "wide", 12: "narrow", 17: "narrow", 24: "narrow2"}
 
 
+def test_ranges_of_all_widths_against_brute_force(spark):
+    rnd = random.Random(3)
+    ranges = [(0, 2**32 - 1), (0, 0), (2**32 - 1, 2**32 - 1), (15, 16), (2**20 - 1, 2**20)]
+    for bits in range(33):
+        lo = rnd.randrange(2**32)
+        ranges.append((lo, min(lo + 2**bits - 1, 2**32 - 1)))
+        ranges.append((lo, min(lo + 2**bits, 2**32 - 1)))
+    table = [(lo, hi, f"r{i}", "x") for i, (lo, hi) in enumerate(ranges)]
+    ips = [x for lo, hi in ranges for x in (lo, hi, max(lo - 1, 0), min(hi + 1, 2**32 - 1))]
+    want = {}
+    for ip in ips:
+        inside = [(hi - lo, lo, name) for lo, hi, name, _ in table if lo <= ip <= hi]
+        want[ip] = min(inside)[2]
+    got = telecom.ip_locations(
+        spark.createDataFrame([(x,) for x in ips], "ip_num long"),
+        spark.createDataFrame(table, "lo long, hi long, location string, isp string"),
+    )
+    assert {r.ip_num: r.location for r in got.collect()} == want
+
+
 def test_log_lines(spark):
     soap = '<soap:Envelope xmlns:soap="http://@@/soap/"><soap:Body><ns2:r xmlns:ns2="http://@@/"><response>'
     err = "<head><errCode>00000001</errCode><errDesc>com.x.ApplicationException: 账户不存在"

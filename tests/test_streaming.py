@@ -40,6 +40,30 @@ def test_running_totals(spark, parts, tables):
     assert rows(table.latest()) == rows(C.running_totals(tables.clicks))
 
 
+def test_running_totals_with_watermark(spark, tables):
+    own = S.stream_session(spark)
+    table = BatchTable(spark, scratch_path(spark, "t"), TOTALS, C.TOTAL_KEYS)
+    S.run_to_end(S.running_totals_to(table, tables.click_stream(own), scratch_path(spark, "c"), watermark="1 hour"))
+    assert rows(table.latest()) == rows(C.running_totals(tables.clicks))
+
+
+def test_interval_trigger_keeps_running(spark, parts, tables):
+    table = BatchTable(spark, scratch_path(spark, "t"), TOTALS, C.TOTAL_KEYS)
+    query = S.running_totals_to(table, stream(spark, parts), scratch_path(spark, "c"), every="1 second")
+    query.processAllAvailable()
+    assert query.isActive
+    query.stop()
+    assert rows(table.latest()) == rows(C.running_totals(tables.clicks))
+
+
+def test_empty_batch_changes_nothing(spark):
+    t = S.new_tables(spark)
+    job = S.ClickJob(t)
+    job(_clicks(spark, [(1, 7, 1)]), 0)
+    job(_clicks(spark, [(1, 7, 1)]).where("false"), 1)
+    assert rows(t.top_ads.current().select("ad_id", "n")) == [(1, 1)]
+
+
 def test_minute_counts_and_trend(spark, parts, tables):
     table = BatchTable(spark, scratch_path(spark, "t"), "ad_id bigint, minute timestamp, n bigint", ["ad_id", "minute"])
     S.run_to_end(S.minute_counts_to(table, stream(spark, parts), scratch_path(spark, "c")))
@@ -74,9 +98,9 @@ def test_watermark_emits_closed_windows(spark, tables):
     assert rows(table.rows().drop("batch")) == rows(closed)
 
 
-def test_pipeline_equals_batch(spark, parts, tables):
+def test_click_job_equals_batch(spark, parts, tables):
     t = S.new_tables(spark)
-    S.run_to_end(S.ClickPipeline(t, threshold=10**9).start(stream(spark, parts), scratch_path(spark, "c")))
+    S.run_to_end(S.ClickJob(t, threshold=10**9).start(stream(spark, parts), scratch_path(spark, "c")))
     assert rows(t.totals.sums()) == rows(C.running_totals(tables.clicks))
     want = C.province_top(C.running_totals(tables.clicks)).select("ad_id", "n", "rank", "day", "province")
     assert rows(t.top_ads.current()) == rows(want)
@@ -93,7 +117,7 @@ def _clicks(spark, entries):
 
 def test_blacklist_takes_effect_in_the_next_batch(spark):
     t = S.new_tables(spark)
-    job = S.ClickPipeline(t, threshold=2)
+    job = S.ClickJob(t, threshold=2)
     job(_clicks(spark, [(1000 * i, 7, 1) for i in range(3)] + [(500, 8, 1)]), 0)
     assert rows(t.blacklist.current()) == [(7,)]
     job(_clicks(spark, [(90_000, 7, 1), (91_000, 8, 1)]), 1)
@@ -103,7 +127,7 @@ def test_blacklist_takes_effect_in_the_next_batch(spark):
 
 def test_replayed_batch_counts_once(spark):
     t = S.new_tables(spark)
-    job = S.ClickPipeline(t, threshold=2)
+    job = S.ClickJob(t, threshold=2)
     batch = _clicks(spark, [(1000 * i, 7, 1) for i in range(3)])
     job(batch, 0)
     job(batch, 0)
@@ -114,7 +138,7 @@ def test_replayed_batch_counts_once(spark):
 
 def test_repeated_click_is_not_valid(spark):
     t = S.new_tables(spark)
-    S.ClickPipeline(t)(_clicks(spark, [(1, 7, 1), (1, 7, 1), (2, 7, 1)]), 0)
+    S.ClickJob(t)(_clicks(spark, [(1, 7, 1), (1, 7, 1), (2, 7, 1)]), 0)
     assert rows(t.user_clicks.sums().select("n")) == [(1,)]
     assert rows(t.totals.sums().select("n")) == [(3,)]
 

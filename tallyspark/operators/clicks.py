@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .sizes import skew_join, top_per_group
+from .sizes import top_per_group
 
 CLICK_KEYS = ["ts_ms", "ip", "user_id", "ad_id", "province", "city"]
 TOTAL_KEYS = ["day", "ad_id", "province", "city"]
@@ -32,7 +32,8 @@ def parse(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def without_blacklisted(clicks: DataFrame, blacklist: DataFrame) -> DataFrame:
-    return skew_join(clicks, blacklist, "user_id", "left_anti")
+    """Clicks of users not on the stored black list, which is read again on every use."""
+    return clicks.join(blacklist, "user_id", "left_anti")
 
 
 def batch_counts(clicks: DataFrame) -> DataFrame:

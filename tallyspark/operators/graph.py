@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import materialise, remove
 from .sizes import skew_join
 
 
@@ -21,13 +21,12 @@ def endpoints(edges: DataFrame) -> DataFrame:
 
 def with_defaults(vertices: DataFrame, edges: DataFrame, defaults: dict) -> DataFrame:
     """All vertices, plus the endpoints that have no row, which get the default attributes."""
-    known = vertices.withColumn("_known", F.lit(True))
     extra = (
         endpoints(edges)
         .join(vertices.select("id"), "id", "left_anti")
         .select("id", *[F.lit(v).alias(k) for k, v in defaults.items()])
     )
-    return known.drop("_known").unionByName(extra)
+    return vertices.unionByName(extra)
 
 
 def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
@@ -174,7 +173,8 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, max_round
                 "id",
                 F.when(better, F.col("offer")).otherwise(F.col("dist")).alias("dist"),
                 better.alias("improved"),
-            )
+            ),
+            instead_of=state,
         )
         if state.where("improved").isEmpty():
             return state.select("id", "dist")
@@ -211,7 +211,7 @@ def page_rank_fixed(edges: DataFrame, rounds: int) -> DataFrame:
     links = materialise(_rank_links(edges))
     ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
     for _ in range(rounds):
-        ranks = materialise(_next_ranks(ranks, links))
+        ranks = materialise(_next_ranks(ranks, links), instead_of=ranks)
     return ranks
 
 
@@ -224,8 +224,10 @@ def page_rank(edges: DataFrame, tolerance: float = 0.01, max_rounds: int = 1_000
         moved = newer.join(ranks.withColumnRenamed("rank", "old"), "id").where(
             F.abs(F.col("rank") - F.col("old")) > tolerance
         )
+        settled = moved.isEmpty()
+        remove(ranks.sparkSession, ranks.stored_at)
         ranks = newer
-        if moved.isEmpty():
+        if settled:
             return ranks
     raise RuntimeError(f"ranks still move after {max_rounds} rounds")
 

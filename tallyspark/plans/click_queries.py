@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clicks as C
-from ..session import scratch_path
+from ..session import materialise, scratch_path
 from ..streaming import clicks_stream as S
 from ..streaming.sinks import BatchTable, KeySet, SliceTable
 from .registry import query
@@ -38,7 +38,7 @@ SELECT ts_ms, user_id, ad_id FROM clicks WHERE user_id NOT IN (SELECT user_id FR
 """,
 )
 def ad_filter_blacklist(t):
-    bad = C.blacklisted(C.daily_user_counts(t.clicks), THRESHOLD)
+    bad = materialise(C.blacklisted(C.daily_user_counts(t.clicks), THRESHOLD))
     return C.without_blacklisted(t.clicks, bad).select("ts_ms", "user_id", "ad_id")
 
 

@@ -58,12 +58,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame:
     """Write ``df`` to a new table in the shared folder and return that table.
 
     This cuts the lineage, survives the loss of executors, and lets Spark choose the next join
-    by the size of the stored files.
+    by the size of the stored files. A loop passes its previous table as ``instead_of``, which
+    is removed once the new one is complete.
     """
-    path = scratch_path(df.sparkSession, "stage")
+    spark = df.sparkSession
+    path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored.stored_at = path
+    if instead_of is not None:
+        remove(spark, instead_of.stored_at)
+    return stored
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

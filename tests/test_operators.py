@@ -125,6 +125,35 @@ def test_skew_join_equals_plain_join(hot, how):
     assert rows(split) == rows(plain)
 
 
+def test_skew_join_spreads_the_hot_key(spark):
+    facts = spark.range(0, 60_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    dim = facts.groupBy("k").agg(F.count("*").alias("n"))
+    as_if_large = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {key: spark.conf.get(key) for key in as_if_large}
+    for key, value in as_if_large.items():
+        spark.conf.set(key, value)
+    try:
+        joined = sizes.skew_join(facts, dim.drop("n"), "k", counts=dim, rows_per_task=1_000)
+        per_task = joined.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()
+    finally:
+        for key, value in old.items():
+            spark.conf.set(key, value)
+    assert sum(r.n for r in per_task) == 60_000
+    assert max(r.n for r in per_task) < 10_000  # the hot key alone has 20 000 rows
+
+
+def test_group_limit_comes_before_the_shuffle(tables):
+    ranked = sizes.top_per_group(tables.device_log, ["user_id"], [F.asc("item"), F.asc("device")], 3)
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Exchange") < plan.rindex("WindowGroupLimit")
+
+
 def test_chunks_hold_everything_and_stay_small(hot):
     facts, _ = hot
     chunks = sizes.chunked_lists(facts, "k", "v", 50).collect()

@@ -6,7 +6,7 @@ stream. Clicks have ts_ms, ip, user_id, ad_id, province, city, ts and day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sizes import top_per_group
@@ -79,20 +79,31 @@ def minute_counts(clicks: DataFrame) -> DataFrame:
 
 
 def trend(per_minute: DataFrame, length: int = 30) -> DataFrame:
-    """Clicks per ad in every window of ``length`` minutes that slides by one minute.
+    """Clicks per ad in every non-empty window of ``length`` minutes that slides by one minute.
 
-    Works on counts per minute, so each (ad, minute) is copied into its windows once, however
-    many clicks it holds.
+    A minute's count enters the running total at the first window that covers it and leaves
+    after the last, so two changes per (ad, minute) are moved instead of a copy per window. An
+    ad has at most one row per minute here, however many clicks it gets.
     """
-    step = F.expr("interval 1 minute")
-    ends = F.sequence(
-        F.col("minute") + step, F.col("minute") + F.make_dt_interval(mins=F.lit(length)), step
-    )
-    return with_time_parts(
-        per_minute.select("ad_id", F.explode(ends).alias("window_end"), "n")
-        .groupBy("ad_id", "window_end")
-        .agg(F.sum("n").alias("n"))
+    minute = F.expr("interval 1 minute")
+    past = F.make_dt_interval(mins=F.lit(length + 1))
+    enter = F.struct((F.col("minute") + minute).alias("at"), F.col("n").alias("change"))
+    leave = F.struct((F.col("minute") + past).alias("at"), (-F.col("n")).alias("change"))
+    changes = (
+        per_minute.repartition("ad_id")  # serves the grouping and the window below
+        .select("ad_id", F.inline(F.array(enter, leave)))
+        .groupBy("ad_id", "at")
+        .agg(F.sum("change").alias("change"))
     )
+    by_ad = Window.partitionBy("ad_id").orderBy("at")
+    levels = changes.select(
+        "ad_id",
+        "at",
+        F.sum("change").over(by_ad.rowsBetween(Window.unboundedPreceding, 0)).alias("n"),
+        F.lead("at").over(by_ad).alias("until"),
+    ).where(F.col("n") > 0)
+    ends = F.sequence(F.col("at"), F.col("until") - minute, minute)
+    return with_time_parts(levels.select("ad_id", F.explode(ends).alias("window_end"), "n"))
 
 
 def with_time_parts(windows: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def _bucket(number, level):
 def ip_locations(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     """Location of each distinct address: (ip_num, n, location, isp), unmatched ones left out.
 
-    ``ips`` has ``ip_num``; ``ranges`` has lo, hi (inclusive), location, isp. Where ranges
+    ``ips`` has ``ip_num``; ``ranges`` has lo, hi (inclusive, 32 bits), location, isp. Where ranges
     overlap, the narrowest wins, then the lowest start.
 
     The join is an equi-join on buckets. A range is listed under the buckets of the smallest

@@ -75,6 +75,16 @@ def materialise(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame
     return stored
 
 
-def remove(spark: SparkSession, path: str) -> None:
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.delete(target, True)
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    fs, target = _file_system(spark, path)
+    fs.mkdirs(target)

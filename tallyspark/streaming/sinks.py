@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import make_folder
+
 
 class BatchTable:
     """Rows of (keys…, values…) collected over batches; ``batch`` is the folder name."""
@@ -20,8 +22,7 @@ class BatchTable:
         self.spark, self.path, self.keys = spark, path, list(keys)
         self.schema = T.StructType.fromDDL(schema)
         self.values = [f.name for f in self.schema if f.name not in self.keys]
-        # batch -1 is empty, so that the table can be read before the first batch
-        spark.createDataFrame([], self.schema).write.mode("overwrite").parquet(f"{path}/batch=-1")
+        make_folder(spark, path)  # an empty table can be read before the first batch
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         (
@@ -75,19 +76,18 @@ class SliceTable:
     def __init__(self, spark: SparkSession, path: str, schema: str, slices: Sequence[str]):
         self.spark, self.path, self.slices = spark, path, list(slices)
         self.schema = T.StructType.fromDDL(schema)
-        self._writer(spark.createDataFrame([], self.schema), "static").parquet(path)
+        make_folder(spark, path)
 
-    def _writer(self, df: DataFrame, mode: str):
-        return (
+    def replace(self, df: DataFrame) -> None:
+        # one task per slice writes its file; a slice holds a short ranking
+        (
             df.select(*self.schema.names)
+            .repartition(*self.slices)
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", mode)
+            .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*self.slices)
+            .parquet(self.path)
         )
 
-    def replace(self, df: DataFrame) -> None:
-        # one task per slice writes its file; a slice holds a short ranking
-        self._writer(df.repartition(*self.slices), "dynamic").parquet(self.path)
-
     def current(self) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(self.path)

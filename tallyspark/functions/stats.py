@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-AGGREGATES = ["count", "avg", "stdev", "max", "min"]
-
-
 def column_stats(value: Column, prefix: str, mean_name: str = "avg") -> list[Column]:
     """Count, mean, population deviation, maximum and minimum of the present values."""
     return [

@@ -6,8 +6,6 @@ Every report counts per user first and joins the user's name to what is left.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +15,7 @@ VISIT, PURCHASE = 0, 1
 
 
 def _at(moment: str) -> Column:
-    return F.lit(datetime.fromisoformat(moment)).cast("timestamp_ntz")
+    return F.lit(moment).cast("timestamp_ntz")
 
 
 def within(start: str, end: str, time: str = "time") -> Column:

@@ -78,8 +78,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -
 def collected_values(df: DataFrame, key: str, value: str) -> DataFrame:
     """Distinct values of each key as a sorted set, and all values as sorted (value, n) pairs.
 
-    Rows are counted per (key, value) first, so what is gathered per key is bounded by the
-    number of distinct values, not by the number of rows.
+    For values from a limited domain, such as codes. Rows are counted per (key, value) first, so
+    what is gathered per key is bounded by that domain, not by the number of rows. Use
+    ``chunked_lists`` for values without such a bound.
     """
     counts = df.groupBy(key, value).agg(F.count("*").alias("n"))
     return counts.groupBy(key).agg(

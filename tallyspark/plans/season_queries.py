@@ -98,10 +98,9 @@ def _rounded(df: DataFrame, columns: list[str], digits: int = 4) -> DataFrame:
     return df.withColumns({c: F.round(F.col(c), digits) for c in columns})
 
 
-def _stat_columns(columns: list[str], mean: str = "avg", sql: bool = False):
-    """Output columns of a statistics table: counts as they are, the rest rounded."""
-    values = [f"{c}_{a}" for c in columns for a in (mean, "stdev", "max", "min")]
-    return values
+def _stat_columns(columns: list[str], mean: str = "avg") -> list[str]:
+    """The columns of a statistics table that are rounded, which is all but the counts."""
+    return [f"{c}_{a}" for c in columns for a in (mean, "stdev", "max", "min")]
 
 
 def _stats_select(columns: list[str]) -> str:

@@ -21,14 +21,13 @@ def double_schema(header: str, doubles: Sequence[str]) -> T.StructType:
 
 def delimited(spark: SparkSession, path, schema: T.StructType, sep: str = "::") -> DataFrame:
     """Records separated by ``sep`` (one or more characters), with surrounding blanks removed."""
-    df = (
+    return (
         spark.read.schema(schema)
         .option("sep", sep)
         .option("ignoreLeadingWhiteSpace", True)
         .option("ignoreTrailingWhiteSpace", True)
         .csv(path)
     )
-    return df
 
 
 def text_lines(spark: SparkSession, path, min_partitions: int | None = None) -> DataFrame:

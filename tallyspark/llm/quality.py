@@ -63,13 +63,13 @@ def statistics(docs: DataFrame) -> DataFrame:
         F.transform("_words", lambda w, i: F.struct(F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)).alias("h"), i.alias("i"))),
         1, F.greatest(F.size("_words") - 2, F.lit(0)),
     )
-    sorted_ = split.withColumn("_windows", F.array_sort(windows))
+    sorted_ = split.withColumn("_windows", F.sort_array(windows))
 
     def twice(x: Column, k: Column) -> Column:
         same = lambda other: F.coalesce(F.get("_windows", other)["h"] == x["h"], F.lit(False))
         return same(k - 1) | same(k + 1)
 
-    found = sorted_.withColumn("_found", F.array_sort(F.transform(F.filter("_windows", twice), lambda x: x["i"])))
+    found = sorted_.withColumn("_found", F.sort_array(F.transform(F.filter("_windows", twice), lambda x: x["i"])))
     covered = F.transform("_found", lambda p, k: F.coalesce(F.least(F.get("_found", k + 1) - p, F.lit(3)), F.lit(3)))
     base = found.select(
         *names, "_text", "_words", "_lines",
@@ -86,8 +86,8 @@ def statistics(docs: DataFrame) -> DataFrame:
 
     chars, words, lines = F.col("word_chars"), F.col("n_words"), F.size("_lines")
     stop = F.array(*[F.lit(w) for w in STOP_WORDS])
-    return base.select(
-        *names, *BASE,
+    measured = [
+        *BASE,
         share(chars, words).alias("word_length"),
         share(F.col("n_symbols"), chars).alias("symbol_share"),
         share(F.col("n_dup_lines"), lines).alias("dup_line_share"),
@@ -98,7 +98,9 @@ def statistics(docs: DataFrame) -> DataFrame:
         share(F.char_length("_text") - _without(F.col("_text"), "!?"), words).alias("mark_share"),
         share(F.size(F.array_intersect(F.split(lower, "[ \\t-\\r]+"), stop)), F.lit(len(STOP_WORDS))).alias("stop_share"),
         share(words, lines).alias("line_words"),
-    )
+    ]
+    # a filter on a statistic stays above this step; pushed further it would repeat the arrays
+    return base.select(*names, F.inline(F.array(F.struct(*measured))))
 
 
 @dataclass(frozen=True)

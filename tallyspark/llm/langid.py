@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.stats import hash_fraction
+
 UNKNOWN = "und"
 DIMS = 1 << 13
 SAMPLE_ROWS = 2000
@@ -132,11 +134,15 @@ def fit(features: np.ndarray, labels: list[str], ridge: float = RIDGE) -> Model
 def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_langs: int = MAX_LANGS) -> tuple[np.ndarray, list[str]]:
     """Scaled features and languages of the bounded sample of ``docs`` (doc_id, text, lang)."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    langs = [r["lang"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()]
-    share = max(1, sample_rows // max(1, len(langs)))
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
+    share = max(1, sample_rows // max(1, len(counts)))
+    # about three times the share of a language by hash, then exactly the share
+    chance = F.lit(0.0)
+    for lang, n in counts.items():
+        chance = F.when(F.col("lang") == lang, F.lit(min(1.0, 3 * share / n))).otherwise(chance)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        rows.where(F.col("lang").isin(langs)).select("doc_id", "lang")
+        rows.where(hash_fraction(F.col("doc_id")) < chance).select("doc_id", "lang")
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= share).select("doc_id", "lang").distinct()
     )  # at most sample_rows rows
 

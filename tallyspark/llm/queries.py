@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import langid, packing, quality, simhash
+from . import langid, linededup, packing, quality, secrets, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,3 +48,35 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return langid.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
+
+
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return linededup.remove_boilerplate(docs).select("doc_id", "text", "removed_lines")
+
+
+# Lines are compared trimmed; the first occurrence in the smallest doc_id stays.
+ORACLES["op5_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, source, i, line, trim(translate(line, chr(9) || chr(13) || chr(11) || chr(12), '    '), ' ') AS k
+  FROM (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i
+        FROM documents)
+), spread AS (
+  SELECT k, min(doc_id) AS first_id FROM lines WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 8
+), kept AS (
+  SELECT l.*, s.k IS NULL OR (l.doc_id = s.first_id AND row_number() OVER (PARTITION BY l.doc_id, l.k ORDER BY l.i) = 1) AS stays
+  FROM lines l LEFT JOIN spread s ON l.k = s.k
+), texts AS (
+  SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE stays), '') AS text,
+         CAST(count(*) FILTER (WHERE NOT stays) AS INTEGER) AS removed_lines
+  FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, t.text, coalesce(t.removed_lines, 0) AS removed_lines FROM documents d LEFT JOIN texts t ON d.doc_id = t.doc_id
+"""
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.findings(docs, secrets.train(docs))

@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialise
 from .components import connected
@@ -52,16 +53,17 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) of documents (doc_id, text); fp holds the 64 bits as a signed long."""
+def with_fingerprint(docs: DataFrame, shingle: int = 3, fp: str = "fp") -> DataFrame:
+    """``docs`` with the fingerprint of the column text; its 64 bits are held as a signed long."""
+    source = docs.drop(fp)
+    schema = StructType(source.schema.fields[:]).add(fp, "long")
 
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch["text"].to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fps.view(np.int64))], [*batch.schema.names, fp])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    return source.mapInArrow(run, schema)
 
 
 def signed(x: int) -> int:
@@ -193,23 +195,35 @@ def _frame_links(frame: pd.DataFrame, starts: np.ndarray, extra: list[str], radi
         yield pd.DataFrame({"a": x, "b": y})
 
 
+def fingerprint_roots(fps: DataFrame, radius: int, blocks: int, tile: int) -> DataFrame:
+    """(fp, root) for every distinct fingerprint of ``fps``."""
+    distinct = materialise(fps.select("fp").distinct())
+    roots = connected(links(distinct, radius, blocks, tile=tile)).withColumnRenamed("node", "fp")
+    return distinct.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shingle: int = 3, tile: int = TILE) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable over links."""
-    prints = materialise(fingerprints(docs, shingle))
-    distinct = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = connected(links(distinct.select("fp"), radius, blocks, tile=tile))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    component = rooted.select("fp", "root").join(lowest, "root").select("fp", "component_id")
+    prints = materialise(with_fingerprint(docs.select("doc_id", "text"), shingle).select("doc_id", "fp"))
+    roots = materialise(fingerprint_roots(prints, radius, blocks, tile))
+    first = prints.groupBy("fp").agg(F.min("doc_id").alias("id"))  # a row per text, so that no component is hot
+    lowest = first.join(roots, "fp").groupBy("root").agg(F.min("id").alias("component_id"))
+    component = roots.join(lowest, "root").select("fp", "component_id")
     return prints.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_first(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shingle: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its component's smallest; of repeated rows, one stays."""
-    found = near_duplicates(docs, radius, blocks, shingle)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    columns = docs.columns
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*columns)
+def keep_first(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shingle: int = 3, tile: int = TILE) -> DataFrame:
+    """One row of ``docs`` per component: that with the smallest doc_id, nulls last; of repeated rows, one."""
+    names = docs.columns
+    stored = materialise(
+        with_fingerprint(docs, shingle, "_fp").withColumn("_row", F.monotonically_increasing_id())
+    )
+    prints = stored.select("doc_id", F.col("_fp").alias("fp"), "_row")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    first = prints.groupBy("fp").agg(F.min(order).alias("first"))
+    roots = fingerprint_roots(prints, radius, blocks, tile)
+    kept = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return stored.join(kept, "_row", "left_semi").select(*names)
 
 
 def hex_digits(fp) -> "F.Column":

@@ -26,8 +26,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..functions.stats import hash_fraction
-
 UNKNOWN = "und"
 DIMS = 1 << 13
 SAMPLE_ROWS = 2000
@@ -142,7 +140,7 @@ def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_langs: in
         chance = F.when(F.col("lang") == lang, F.lit(min(1.0, 3 * share / n))).otherwise(chance)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        rows.where(hash_fraction(F.col("doc_id")) < chance).select("doc_id", "lang")
+        rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance * (1 << 20)).select("doc_id", "lang")
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= share).select("doc_id", "lang").distinct()
     )  # at most sample_rows rows
 

@@ -34,7 +34,7 @@ GROUP_WINDOWS = 128
 
 # Fixed values of the tokenizer's format: its byte alphabet, its split pattern, white space.
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
-WHITE = "\t-\r \x85\xa0  -     　"
+WHITE = "\t-\r \x85\xa0" + "".join(map(chr, [0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 PART = rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{WHITE}\p{{L}}\p{{N}}]+"
 
 

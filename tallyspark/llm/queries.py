@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import langid, linededup, packing, quality, secrets, simhash
+from . import langid, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -80,3 +80,17 @@ SELECT d.doc_id, t.text, coalesce(t.removed_lines, 0) AS removed_lines FROM docu
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.findings(docs, secrets.train(docs))
+
+
+@query
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urlfilter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = tokencount.with_token_counts(docs)
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return counted.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import langid, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
+from . import anngraph, langid, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,3 +94,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = tokencount.with_token_counts(docs)
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return counted.select("doc_id", n_bytes.alias("n_bytes"), "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query
+def op6_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anngraph.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)

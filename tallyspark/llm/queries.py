@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import anngraph, langid, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
+from . import anngraph, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -99,3 +99,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anngraph.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query
+def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    pieces = lattice.Pieces.load()
+    both = lattice.decode(lattice.encode(turns, pieces), pieces)
+    return both.select("conv_id", "turn", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sizes import skew_join, top, top_per_group
+from .sizes import top, top_per_group
 
 VISIT, PURCHASE = 0, 1
 
@@ -57,8 +57,9 @@ def growth_topn(
         .groupBy("user_id")
         .agg(F.sum(signed).alias("_growth"))
     )
-    kind = "double" if typed == PURCHASE else "long"
-    per_user = per_user.select("user_id", F.round("_growth", 2).cast(kind).alias("growth"))
+    fractions = dict(per_user.dtypes)["_growth"] == "double"
+    growth = F.round("_growth", 2) if fractions else F.col("_growth")
+    per_user = per_user.select("user_id", growth.alias("growth"))
     return _named_top(per_user, users, "growth", n)
 
 
@@ -77,7 +78,9 @@ def first_days(
     """Users ranked by ``measure`` over the first ``days`` days after registration.
 
     ``registered`` is the half-open period in which the registration must fall. Only the log
-    of that period and the ``days`` after it is read. Dates count inclusively.
+    of that period and the ``days`` after it is read, and only rows of those users are aggregated.
+    Both sides come straight from their tables, so adaptive execution can split a hot user or
+    broadcast a small cohort. Dates count inclusively.
     """
     cohort = accounts.where(within(*registered, time="registered"))
     window_end = F.date_add(_at(registered[1]).cast("date"), days + 1).cast("timestamp_ntz")
@@ -88,7 +91,7 @@ def first_days(
         F.to_date("time") <= F.date_add(F.to_date("registered"), days)
     )
     per_user = (
-        skew_join(recent.select("user_id", "log_id", "time", "consumed"), cohort, "user_id")
+        recent.select("user_id", "log_id", "time", "consumed").join(cohort, "user_id")
         .where(in_time)
         .groupBy("user_id", "name")
         .agg(measure.alias("amount"))

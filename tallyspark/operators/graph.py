@@ -132,14 +132,21 @@ def mean_follower_age(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return aggregate_messages(vertices, edges, F.avg("src_age").alias("mean_age"))
 
 
+def mean_age_report(vertices: DataFrame, edges: DataFrame) -> DataFrame:
+    """(id, report): the mean age of its followers for every vertex, also for those without."""
+    joined = vertices.join(mean_follower_age(vertices, edges), "id", "left")
+    known = F.concat(F.lit("Followers of "), F.col("name"), F.lit(" are "), F.format_number("mean_age", 2), F.lit(" years old on average."))
+    return joined.select("id", F.coalesce(known, F.concat(F.col("name"), F.lit(" is followed by nobody."))).alias("report"))
+
+
 def follower_report(vertices: DataFrame, edges: DataFrame, oldest: bool = True) -> DataFrame:
     """(id, report): a sentence for every vertex, also for those without followers."""
     word = "oldest" if oldest else "youngest"
     joined = vertices.join(extreme_follower(vertices, edges, oldest), "id", "left")
     text = F.when(
         F.col("follower_id").isNull(),
-        F.concat(F.col("name"), F.lit(" does not have any followers.")),
-    ).otherwise(F.concat(F.col("follower_name"), F.lit(f" is the {word} follower of "), F.col("name"), F.lit(".")))
+        F.concat(F.lit("Nobody follows "), F.col("name"), F.lit(".")),
+    ).otherwise(F.concat(F.lit(f"The {word} who follows "), F.col("name"), F.lit(" is "), F.col("follower_name"), F.lit(".")))
     return joined.select("id", text.alias("report"))
 
 
@@ -149,18 +156,20 @@ def counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return n_vertices.unionByName(n_edges)
 
 
-def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, max_rounds: int = 1_000) -> DataFrame:
+def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int) -> DataFrame:
     """(id, dist) from ``source`` along weighted edges; unreachable vertices get infinity.
 
     Only vertices improved in the last round send messages. Each round's distances are stored,
-    and the loop ends when no distance improves.
+    and the loop ends when no distance improves, which it must as weights below 0 are refused.
     """
     edges = materialise(edges.select("src", "dst", F.col("attr").cast("double").alias("attr")))
+    if (edges.agg(F.min("attr")).first()[0] or 0.0) < 0:
+        raise ValueError("weights must not be negative")
     start = F.when(F.col("id") == source, F.lit(0.0)).otherwise(F.lit(float("inf")))
     state = materialise(
         vertices.select("id", start.alias("dist"), (F.col("id") == source).alias("improved"))
     )
-    for _ in range(max_rounds):
+    while True:
         senders = state.where("improved").select(F.col("id").alias("src"), "dist")
         offers = (
             senders.join(edges, "src")
@@ -177,8 +186,8 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int, max_round
             instead_of=state,
         )
         if state.where("improved").isEmpty():
+            remove(edges.sparkSession, edges.stored_at)
             return state.select("id", "dist")
-    raise RuntimeError(f"distances still improve after {max_rounds} rounds")
 
 
 RESET = 0.15
@@ -212,14 +221,18 @@ def page_rank_fixed(edges: DataFrame, rounds: int) -> DataFrame:
     ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
     for _ in range(rounds):
         ranks = materialise(_next_ranks(ranks, links), instead_of=ranks)
+    remove(links.sparkSession, links.stored_at)
     return ranks
 
 
-def page_rank(edges: DataFrame, tolerance: float = 0.01, max_rounds: int = 1_000) -> DataFrame:
-    """Un-normalised ranks once no rank moves by more than ``tolerance`` in a round."""
+def page_rank(edges: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Un-normalised ranks once no rank moves by more than ``tolerance`` in a round.
+
+    A round shrinks the total movement by the factor 0.85, so the loop ends.
+    """
     links = materialise(_rank_links(edges))
     ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
-    for _ in range(max_rounds):
+    while True:
         newer = materialise(_next_ranks(ranks, links))
         moved = newer.join(ranks.withColumnRenamed("rank", "old"), "id").where(
             F.abs(F.col("rank") - F.col("old")) > tolerance
@@ -228,8 +241,8 @@ def page_rank(edges: DataFrame, tolerance: float = 0.01, max_rounds: int = 1_000
         remove(ranks.sparkSession, ranks.stored_at)
         ranks = newer
         if settled:
+            remove(links.sparkSession, links.stored_at)
             return ranks
-    raise RuntimeError(f"ranks still move after {max_rounds} rounds")
 
 
 def canonical(edges: DataFrame) -> DataFrame:
@@ -248,7 +261,7 @@ def triangles(edges: DataFrame) -> DataFrame:
     sqrt(2 * edges) outgoing ones and the neighbour lists stay that short. A triangle is an
     edge whose two ends share an outgoing neighbour.
     """
-    flat = canonical(edges)
+    flat = materialise(canonical(edges))  # degrees and both joins read it
     degree = degrees(flat).select("id", "degree")
     of_src = degree.select(F.col("id").alias("src"), F.col("degree").alias("ds"))
     of_dst = degree.select(F.col("id").alias("dst"), F.col("degree").alias("dd"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -73,15 +73,19 @@ def aged(df: DataFrame, is_special: Column, age: str, special_years: int = 70, y
     return df.withColumn(age, F.col(age) + step)
 
 
-def shifted_in_batches(df: DataFrame, column: str, amount: int) -> DataFrame:
-    """Add ``amount`` to a column batch by batch, as a caller's own partition function would."""
+def shifted(df: DataFrame, column: str, amount: int) -> DataFrame:
+    """Add ``amount`` to a column."""
+    return df.withColumn(column, F.col(column) + amount)
 
-    def shift(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def in_batches(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema=None) -> DataFrame:
+    """A caller's own function on the batches of each partition, for what no expression can do."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch[column] = batch[column] + amount
-            yield batch
+            yield fn(batch)
 
-    return df.mapInPandas(shift, df.schema)
+    return df.mapInPandas(run, schema or df.schema)
 
 
 def tree_sum(spark: SparkSession, start: int, end: int, partitions: int | None = None) -> DataFrame:
@@ -91,11 +95,16 @@ def tree_sum(spark: SparkSession, start: int, end: int, partitions: int | None =
     )
 
 
-def random_halves(df: DataFrame, weights: list[float], seed: int) -> DataFrame:
-    """Rows labelled with the part they fall into in a weighted random split."""
-    parts = df.randomSplit(weights, seed)
-    labelled = [p.withColumn("part", F.lit(i)) for i, p in enumerate(parts)]
-    out = labelled[0]
-    for p in labelled[1:]:
-        out = out.unionByName(p)
-    return out
+def random_parts(df: DataFrame, weights: list[float], seed: int) -> DataFrame:
+    """Rows labelled with the part they fall into in a weighted random split, in one scan.
+
+    One number is drawn per row, so parts neither overlap nor lose rows.
+    """
+    total, reached, part = sum(weights), 0.0, F.lit(len(weights) - 1)
+    bounds = []
+    for w in weights[:-1]:
+        reached += w / total
+        bounds.append(reached)
+    for i in reversed(range(len(bounds))):
+        part = F.when(F.col("_draw") < bounds[i], F.lit(i)).otherwise(part)
+    return df.withColumn("_draw", F.rand(seed)).withColumn("part", part).drop("_draw")

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .sizes import checked_broadcast, top, top_per_group
+from .sizes import top, top_per_group
 
 
 
@@ -79,7 +79,7 @@ def most_popular(ratings: DataFrame, movies: DataFrame, n: int = 10) -> DataFram
 def by_group(ratings: DataFrame, users: DataFrame, column: str, groups: Sequence) -> DataFrame:
     """Ratings by users of the given groups, with the group, in one pass for all groups."""
     members = users.where(F.col(column).isin(*groups)).select("user_id", column)
-    return ratings.join(checked_broadcast(members), "user_id")
+    return ratings.join(members, "user_id")
 
 
 def top_rated_by_group(
@@ -111,7 +111,12 @@ def segment_topn(
 def rated_by_members(ratings: DataFrame, users: DataFrame, segment: Column) -> DataFrame:
     """Ratings given by the users of a segment, as a membership test."""
     members = users.where(segment).select("user_id").distinct()
-    return ratings.join(checked_broadcast(members), "user_id", "left_semi")
+    return ratings.join(members, "user_id", "left_semi")
+
+
+def looked_up(ratings: DataFrame, users: DataFrame, *columns: str) -> DataFrame:
+    """Every rating with the user's columns, NULL where the user is unknown."""
+    return ratings.join(users.select("user_id", *columns), "user_id", "left")
 
 
 def latest_ratings(ratings: DataFrame, n: int = 10) -> DataFrame:

@@ -144,9 +144,11 @@ def profile_by_age(changes: DataFrame) -> DataFrame:
     return profile(changes, "age")
 
 
-def profile_by_experience(changes: DataFrame, partial_year: int) -> DataFrame:
-    """Profile by experience without the players who were active in the partial first year."""
-    known_before = changes.where(F.col("year") == partial_year).select("name").distinct()
+def profile_by_experience(changes: DataFrame, seasons: DataFrame, partial_year: int) -> DataFrame:
+    """Profile by experience without the players who were active in the partial first year.
+
+    Their names come from the seasons, which needs no statistics."""
+    known_before = seasons.where(F.col("year") == partial_year).select("name").distinct()
     return profile(changes.join(known_before, "name", "left_anti"), "exp")
 
 

@@ -1,4 +1,4 @@
-"""Joins and collections whose memory use is bounded by a checked size."""
+"""Joins and collections that no hot key can put into one task."""
 
 from __future__ import annotations
 
@@ -9,21 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import hash_fraction
 
-BROADCAST_ROWS = 200_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else ``df`` as it is.
-
-    Counting first costs one pass over the small side; it saves moving the large side when a
-    filter leaves little of a big table. Without the hint the join is a shuffle join, whose
-    oversized partitions adaptive execution splits.
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
-
-
 ROWS_PER_TASK = 1_000_000
-MAX_HOT_KEYS = 10_000
+NULL_PARTS = 997
 
 
 def skew_join(
@@ -34,27 +21,27 @@ def skew_join(
 
     Adaptive execution splits a skewed join only between two plain shuffles. Use this where
     ``dim`` comes out of an aggregation or join on the same key. ``counts`` (key, n) gives the
-    rows per key if it is known already. The hot keys are at most MAX_HOT_KEYS, the most
-    frequent ones, so that list is broadcast; rows of other keys take the usual path. ``how``
-    is inner, left, left_semi or left_anti, and the result is that of the plain join.
+    rows per key if it is known already. Every key above ``rows_per_task`` is spread, however many
+    there are: the number of its parts comes by a join, which Spark broadcasts only if its real size
+    allows. Rows without a key are spread as well, since they match nothing. Equal rows are dealt
+    by their place, so that copies spread too. ``how`` is inner, left, left_semi or left_anti, and the
+    result is that of the plain join.
     """
     if counts is None:
         counts = facts.groupBy(key).agg(F.count("*").alias("n"))
-    hot = F.broadcast(
-        counts.where(F.col("n") > rows_per_task)
-        .orderBy(F.desc("n"), F.asc(key))
-        .limit(MAX_HOT_KEYS)
-        .select(key, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_parts"))
+    hot = counts.where((F.col("n") > rows_per_task) & F.col(key).isNotNull()).select(
+        key, F.ceil(F.col("n") / rows_per_task).cast("int").alias("_parts")
     )
-    parts = F.coalesce(F.col("_parts"), F.lit(1))
+    placed = facts.withColumn("_place", F.monotonically_increasing_id())
+    parts = F.when(F.col(key).isNull(), NULL_PARTS).otherwise(F.coalesce(F.col("_parts"), F.lit(1)))
     spread = (
-        facts.join(hot, key, "left")
-        .withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), parts).cast("int"))
-        .drop("_parts")
+        placed.join(hot, key, "left")
+        .withColumn("_salt", F.pmod(F.xxhash64("_place"), parts).cast("int"))
+        .select(*facts.columns, "_salt")
     )
     copied = (
         dim.join(hot, key, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
         .drop("_parts")
     )
     return spread.join(copied, [key, "_salt"], how).drop("_salt")
@@ -93,14 +80,17 @@ def chunked_lists(df: DataFrame, key: str, value: str, size: int) -> DataFrame:
     """All values of each key, as sorted lists of about ``size`` values: (key, chunk, values).
 
     A key with many rows spreads over as many chunks as it needs, so no task gathers a whole
-    group. ``value`` is an integer column; its hash picks the chunk.
+    group. Equal values are counted first and their copies dealt apart. ``value`` is an integer
+    column; the chunk follows a hash of the value and the copy's number.
     """
-    chunks = df.groupBy(key).agg(
+    counted = df.groupBy(key, value).agg(F.count("*").alias("_copies"))
+    per_key = counted.groupBy(key).agg(
         F.count("*").alias("n"),
-        F.ceil(F.count("*") / F.lit(size)).cast("long").alias("_chunks"),
+        F.ceil(F.sum("_copies") / F.lit(size)).cast("long").alias("_chunks"),
     )
-    placed = skew_join(df.select(key, value), chunks.drop("n"), key, counts=chunks.select(key, "n"))
-    chunk = F.floor(hash_fraction(F.col(value)) * F.col("_chunks")).cast("long")
-    return placed.groupBy(key, chunk.alias("chunk")).agg(
+    placed = skew_join(counted, per_key.drop("n"), key, counts=per_key.select(key, "n"))
+    copies = placed.withColumn("_copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1)))
+    chunk = F.floor(hash_fraction(F.col(value) + F.col("_copy") * 7919) * F.col("_chunks")).cast("long")
+    return copies.groupBy(key, chunk.alias("chunk")).agg(
         F.sort_array(F.collect_list(value)).alias("values")
     )

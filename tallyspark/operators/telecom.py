@@ -28,10 +28,12 @@ def ip_locations(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     width in use, of which there are at most nine. Equal addresses are counted before that, so
     a frequent address is one row.
     """
-    sized = ranges.withColumn("width", F.col("hi") - F.col("lo") + 1)
+    # addresses have 32 bits, so what a range covers beyond them places it nowhere
+    first, last = F.greatest(F.col("lo"), F.lit(0)), F.least(F.col("hi"), F.lit(2**32 - 1))
+    sized = ranges.withColumn("width", F.col("hi") - F.col("lo") + 1).withColumn("first", first).withColumn("last", last)
     level = F
     for bits in RANGE_LEVELS:
-        level = level.when(F.col("width") <= 1 << bits, F.lit(bits))
+        level = level.when(F.col("last") - F.col("first") < 1 << bits, F.lit(bits))
     sized = sized.withColumn("level", level)
     used = sorted(r["level"] for r in sized.select("level").distinct().collect() if r["level"] is not None)
     if not used:
@@ -40,7 +42,7 @@ def ip_locations(ips: DataFrame, ranges: DataFrame) -> DataFrame:
     left = counted.withColumn("bucket", F.explode(F.array(*[_bucket("ip_num", b) for b in used])))
     touched = F
     for bits in used:
-        ends = F.array(_bucket("lo", bits), _bucket("hi", bits))
+        ends = F.array(_bucket("first", bits), _bucket("last", bits))
         touched = touched.when(F.col("level") == bits, F.array_distinct(ends))
     right = sized.withColumn("bucket", F.explode(touched))
     inside = F.col("ip_num").between(F.col("lo"), F.col("hi"))

@@ -10,7 +10,7 @@ from .registry import query
 EDGES = """
 edges AS (
   SELECT l_partkey AS src, l_orderkey % (SELECT max(p_partkey) + 1 FROM part) AS dst, count(*) AS attr
-  FROM lineitem WHERE l_partkey <> l_orderkey % (SELECT max(p_partkey) + 1 FROM part) GROUP BY ALL),
+  FROM lineitem GROUP BY ALL),
 vertices AS (SELECT p_partkey AS id, p_name AS name, p_size AS age FROM part)
 """
 DEGREES = """
@@ -162,17 +162,36 @@ def avg_follower_age(t):
     return G.mean_follower_age(t.vertices, t.edges).withColumn("mean_age", F.round("mean_age", 6))
 
 
+def _report_sql(word: str, order: str) -> str:
+    return f"""
+WITH {EDGES}, {_follower(order)}
+SELECT v.id, CASE WHEN follower_id IS NULL THEN 'Nobody follows ' || name || '.'
+  ELSE 'The {word} who follows ' || name || ' is ' || follower_name || '.' END AS report
+FROM vertices v LEFT JOIN (SELECT * FROM followers WHERE rn = 1) f ON v.id = f.id
+"""
+
+
+@query("follower_report", _report_sql("oldest", "DESC"))
+def follower_report(t):
+    return G.follower_report(t.vertices, t.edges)
+
+
+@query("follower_report_youngest", _report_sql("youngest", "ASC"))
+def follower_report_youngest(t):
+    return G.follower_report(t.vertices, t.edges, oldest=False)
+
+
 @query(
-    "follower_report",
+    "follower_report_mean",
     f"""
-WITH {EDGES}, {_follower('DESC')}
-SELECT v.id, CASE WHEN follower_id IS NULL THEN name || ' does not have any followers.'
-  ELSE follower_name || ' is the oldest follower of ' || name || '.' END AS report
-FROM vertices v LEFT JOIN (SELECT * FROM followers WHERE rn = 1) f ON v.id = f.id
+WITH {EDGES}, means AS (SELECT dst AS id, avg(age) AS mean_age FROM edges JOIN vertices ON id = src GROUP BY dst)
+SELECT v.id, CASE WHEN mean_age IS NULL THEN name || ' is followed by nobody.'
+  ELSE 'Followers of ' || name || ' are ' || printf('%.2f', mean_age) || ' years old on average.' END AS report
+FROM vertices v LEFT JOIN means m ON v.id = m.id
 """,
 )
-def follower_report(t):
-    return G.follower_report(t.vertices, t.edges)
+def follower_report_mean(t):
+    return G.mean_age_report(t.vertices, t.edges)
 
 
 @query(
@@ -230,7 +249,7 @@ def pagerank_tolerance(t):
 @query(
     "triangle_count",
     f"""
-WITH {EDGES}, flat AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges),
+WITH {EDGES}, flat AS MATERIALIZED (SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b FROM edges WHERE src <> dst),
 tri AS (
   SELECT x.a AS a, x.b AS b, y.b AS c FROM flat x JOIN flat y ON x.b = y.a JOIN flat z ON z.a = x.a AND z.b = y.b),
 hits AS (SELECT a AS id FROM tri UNION ALL SELECT b FROM tri UNION ALL SELECT c FROM tri)

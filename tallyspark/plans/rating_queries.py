@@ -445,7 +445,7 @@ def conditional_map(t):
 
 @query("map_partitions", f"WITH {PEOPLE} SELECT user_id, age + 1000 AS age FROM people")
 def map_partitions(t):
-    return people.shifted_in_batches(t.people.select("user_id", "age"), "age", 1000)
+    return people.shifted(t.people.select("user_id", "age"), "age", 1000)
 
 
 @query(
@@ -497,4 +497,4 @@ def sample_half(t):
 
 @query("random_split")
 def random_split(t):
-    return people.random_halves(t.people.select("user_id", "name"), [10.0, 20.0], 11)
+    return people.random_parts(t.people.select("user_id", "name"), [10.0, 20.0], 11)

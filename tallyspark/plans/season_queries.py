@@ -13,7 +13,7 @@ AGGS = {"count": "count", "avg": "avg", "stdev": "stddev_pop", "max": "max", "mi
 
 SEASONS = """
 counted AS (
-  SELECT l_suppkey AS s, year(l_shipdate) AS year, CAST(count(*) AS DOUBLE) AS fga,
+  SELECT l_suppkey AS s, year, CAST(count(*) AS DOUBLE) AS fga,
     CAST(count(*) FILTER (l_quantity > 25) AS DOUBLE) AS fg,
     CAST(count(*) FILTER (l_returnflag = 'R') AS DOUBLE) AS tpa,
     CAST(count(*) FILTER (l_returnflag = 'R' AND l_quantity > 25) AS DOUBLE) AS tp,
@@ -23,10 +23,10 @@ counted AS (
     CAST(count(*) FILTER (l_discount <= 0.02) AS DOUBLE) AS drb,
     CAST(count(*) FILTER (l_tax <= 0.03) AS DOUBLE) AS ast,
     CAST(count(*) FILTER (l_tax = 0) AS DOUBLE) AS stl,
-    CAST(count(*) FILTER (l_linestatus = 'O' AND l_quantity <= 5 AND year(l_shipdate) > 1996) AS DOUBLE) AS blk,
+    CAST(count(*) FILTER (l_linestatus = 'O' AND l_quantity <= 5 AND year > 1996) AS DOUBLE) AS blk,
     CAST(count(*) FILTER (l_quantity < 10) AS DOUBLE) AS tov,
     CAST(count(*) FILTER (l_linenumber > 5) AS DOUBLE) AS pf
-  FROM lineitem WHERE year(l_shipdate) >= l_suppkey % 4 + 1995 GROUP BY ALL),
+  FROM (SELECT *, greatest(year(l_shipdate), l_suppkey % 4 + 1995) AS year FROM lineitem) GROUP BY ALL),
 seasons AS (
   SELECT CAST(year AS INTEGER) AS year, 'player-' || s AS name, CAST(s % 7 + 20 + year - 1995 AS INTEGER) AS age,
     fg AS "FG", fga AS "FGA", coalesce(fg / nullif(fga, 0), 0) AS "FG%", tp AS "3P", tpa AS "3PA",
@@ -186,8 +186,8 @@ def profile_by_age(t):
     _profile_sql("exp", "(SELECT * FROM changes WHERE name NOT IN (SELECT name FROM changes WHERE year = 1995))"),
 )
 def profile_by_experience(t):
-    changes = S.deltas(S.normalised(t.stored_seasons()))
-    return _rounded(S.profile_by_experience(changes, 1995), PROFILE_COLUMNS)
+    seasons = t.stored_seasons()
+    return _rounded(S.profile_by_experience(S.deltas(S.normalised(seasons)), seasons, 1995), PROFILE_COLUMNS)
 
 
 MISSING = """

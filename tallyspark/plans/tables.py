@@ -12,6 +12,7 @@ from ..operators import clicks as C
 from ..session import configure, materialise
 from ..sources import readers
 
+# The age codes of the rating data.
 AGE_CODES = [1, 18, 25, 35, 45, 50, 56]
 
 
@@ -200,19 +201,14 @@ class Tables:
         """Payment log lines of all kinds, one per event."""
         n = F.col("event_id").cast("string")
         stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
-        envelope = F.lit(
-            ' response:<soap:Envelope xmlns:soap="http://test/soap/"><soap:Body> <r ns="x"> head'
-            "<response><head><errCode>00000001</errCode><errDesc>app.Exception: "
+        tail = F.concat(
+            F.lit("<response><head><errCode>00000001</errCode><errDesc>ledger: entry"), n
         )
         kinds = {
-            "click": F.concat(stamp, F.lit(" [ERROR] [Auth.java] : 145 -- time: >>>> Auth >>>> ["), n, F.lit("]ms")),
-            "view": F.concat(stamp, F.lit(" [DEBUG] [Invoice.java] : 498 -- serial:"), n, F.lit(",queryInvoice"), envelope, n),
-            "purchase": F.concat(
-                stamp, F.lit(" [ERROR] [Payment.java] : 182 -- serial:"), n, F.lit(" time: >>>> Payment >>>> ["), n, F.lit("]ms")
-            ),
-            "signup": F.concat(
-                stamp, F.lit(" [WARN ] [Account.java] : 278 -- serial:"), n, F.lit(",queryAccount"), envelope, n
-            ),
+            "click": F.concat(stamp, F.lit(" [WARN] [Login] : 1 -- check >>>> Login >>>> ["), n, F.lit("]ms")),
+            "view": F.concat(stamp, F.lit(" [INFO] [Bill] : 2 -- ref:"), n, F.lit(",readBill reply:ok text "), tail),
+            "purchase": F.concat(stamp, F.lit(" [INFO] [Cart] : 3 -- ref:"), n, F.lit(" took >>>> Cart >>>> ["), n, F.lit("]ms")),
+            "signup": F.concat(stamp, F.lit(" [NOTE ] [Member] : 4 -- ref:"), n, F.lit(",readMember reply:ok text "), tail),
         }
         line = F
         for kind, text in kinds.items():
@@ -220,12 +216,12 @@ class Tables:
         noise = F.concat(stamp, F.lit(" [INFO] heartbeat "), n)
         return self.read("events").select("event_id", line.otherwise(noise).alias("value"))
 
-    # seasons: a supplier's lines of one year
+    # seasons: a supplier's lines of one year; lines before its debut count in the debut year
 
     @cached_property
     def seasons(self) -> DataFrame:
         line = self.read("lineitem").select(
-            "l_suppkey", F.year("l_shipdate").alias("year"), "l_quantity", "l_returnflag", "l_discount",
+            "l_suppkey", F.greatest(F.year("l_shipdate"), F.col("l_suppkey") % 4 + 1995).cast("int").alias("year"), "l_quantity", "l_returnflag", "l_discount",
             "l_tax", "l_linestatus", "l_linenumber",
         )
         big = F.col("l_quantity") > 25
@@ -235,8 +231,7 @@ class Tables:
             return F.count(F.when(condition, 1)).cast("double")
 
         counted = (
-            line.where(F.col("year") >= F.col("l_suppkey") % 4 + 1995)
-            .groupBy("l_suppkey", "year")
+            line.groupBy("l_suppkey", "year")
             .agg(
                 F.count("*").cast("double").alias("FGA"),
                 n(big).alias("FG"),
@@ -302,7 +297,6 @@ class Tables:
         return (
             self.read("lineitem")
             .select(F.col("l_partkey").alias("src"), (F.col("l_orderkey") % parts).alias("dst"))
-            .where(F.col("src") != F.col("dst"))
             .groupBy("src", "dst")
             .agg(F.count("*").alias("attr"))
         )

@@ -52,6 +52,7 @@ def parquet(spark: SparkSession, path) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# The columns of the season files.
 SEASON_METRICS = [
     "FG", "FGA", "FG%", "3P", "3PA", "3P%", "2P", "2PA", "2P%", "eFG%", "FT",
     "FTA", "FT%", "ORB", "DRB", "TRB", "AST", "STL", "BLK", "TOV", "PF", "PTS",

@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clicks as C
-from ..operators.sizes import checked_broadcast
-from ..session import scratch_path
+from ..session import RUNTIME_CONF, scratch_path
 from .sinks import BatchTable, KeySet, SliceTable
 
 
@@ -33,9 +32,7 @@ def stream_session(spark: SparkSession) -> SparkSession:
     The number of state partitions is fixed when a query first starts.
     """
     own = spark.newSession()
-    for key in ("spark.sql.session.timeZone", "spark.sql.adaptive.enabled"):
-        own.conf.set(key, spark.conf.get(key))
-    for key, value in STATE_STORE.items():
+    for key, value in {**RUNTIME_CONF, **STATE_STORE}.items():
         own.conf.set(key, value)
     own.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return own
@@ -148,7 +145,7 @@ class ClickJob:
             t.blacklist.add(C.blacklisted(sums, self.threshold), batch_id)
 
             t.totals.write(C.running_totals(kept), batch_id)
-            slices = checked_broadcast(kept.select("day", "province").distinct())
+            slices = kept.select("day", "province").distinct()
             affected = t.totals.rows(recent).join(slices, ["day", "province"], "left_semi")
             t.top_ads.replace(C.province_top(affected, self.top))
 

@@ -29,8 +29,10 @@ def test_conditional_ages(persons):
     assert ("Michael", 46) in rows(people.aged(persons, F.col("name") == "Andy", "age"))
 
 
-def test_batchwise_shift(persons):
-    assert rows(people.shifted_in_batches(persons, "age", 1000))[0] == ("Andy", 1030)
+def test_shift(persons):
+    assert rows(people.shifted(persons, "age", 1000))[0] == ("Andy", 1030)
+    batches = people.in_batches(persons, lambda b: b.assign(age=b["age"] + 1000))
+    assert rows(batches)[0] == ("Andy", 1030)
 
 
 def test_pairs(spark, persons):
@@ -161,10 +163,19 @@ def test_chunks_hold_everything_and_stay_small(hot):
     assert max(len(c["values"]) for c in chunks) < 100
 
 
-def test_checked_broadcast(spark):
-    small, large = spark.range(10), spark.range(1000)
-    plan = lambda df: spark.range(5000).join(sizes.checked_broadcast(df, 100), "id")._jdf.queryExecution().logical().toString()
-    assert "broadcast" in plan(small) and "broadcast" not in plan(large)
+def test_chunks_of_equal_values_stay_small(spark):
+    facts = spark.range(6000).select(F.lit(1).alias("k"), (F.col("id") % 3).alias("v"))
+    chunks = sizes.chunked_lists(facts, "k", "v", 50).collect()
+    assert sorted(v for c in chunks for v in c["values"]) == sorted([0, 1, 2] * 2000)
+    assert max(len(c["values"]) for c in chunks) < 100
+
+
+def test_many_hot_keys_and_missing_keys_are_spread(spark):
+    facts = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") % 2 == 0, F.col("id") % 300).alias("k"), F.lit(0).alias("v"))
+    dim = facts.groupBy("k").agg(F.count("*").alias("n"))
+    for how in ("inner", "left", "left_anti"):
+        got = sizes.skew_join(facts, dim, "k", how, rows_per_task=2)
+        assert rows(got) == rows(facts.join(dim, "k", how))
 
 
 def test_collected_values(spark):
@@ -252,7 +263,7 @@ def test_splits(spark):
     df = spark.range(10_000)
     share = mlprep.hash_split(df, "id").where("is_val").count() / 10_000
     assert 0.17 < share < 0.23
-    parts = people.random_halves(df, [10.0, 20.0], 3)
+    parts = people.random_parts(df, [10.0, 20.0], 3)
     assert parts.count() == 10_000 and parts.select("id").distinct().count() == 10_000
     assert 3000 < parts.where("part = 0").count() < 3700
 

@@ -1,4 +1,13 @@
 """Registered queries with their SQL counterparts."""
 
-from . import click_queries, graph_queries, ml_queries, rating_queries, season_queries, telecom_queries  # noqa: F401
+from . import (  # noqa: F401
+    click_queries,
+    format_queries,
+    graph_queries,
+    ml_queries,
+    random_queries,
+    rating_queries,
+    season_queries,
+    telecom_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401

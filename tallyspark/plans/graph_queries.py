@@ -241,7 +241,25 @@ def pagerank_fixed(t):
     return G.page_rank_fixed(t.edges, 5).withColumn("rank", F.round("rank", 6))
 
 
-@query("pagerank_tolerance")
+def _settled_sql(rounds: int, tolerance: float) -> str:
+    """Rounds that go on until the ranks have settled; further ones keep them."""
+    ctes = [
+        "links AS MATERIALIZED (SELECT src, dst, 1e0 / count(*) OVER (PARTITION BY src) AS share FROM edges)",
+        "r0 AS MATERIALIZED (SELECT id, 1e0 AS rank FROM (SELECT src AS id FROM edges UNION SELECT dst FROM edges))",
+        "s0 AS MATERIALIZED (SELECT false AS settled)",
+    ]
+    for i in range(1, rounds + 1):
+        ctes.append(
+            f"""r{i} AS MATERIALIZED (SELECT id, 0.15e0 + 0.85e0 * sum(part) AS rank FROM (
+  SELECT dst AS id, rank * share AS part FROM links JOIN r{i - 1} ON id = src UNION ALL SELECT id, 0e0 FROM r{i - 1})
+  WHERE NOT (SELECT settled FROM s{i - 1}) GROUP BY id
+  UNION ALL SELECT id, rank FROM r{i - 1} WHERE (SELECT settled FROM s{i - 1})),
+s{i} AS MATERIALIZED (SELECT max(abs(x.rank - y.rank)) <= {tolerance} AS settled FROM r{i} x JOIN r{i - 1} y USING (id))"""
+        )
+    return f"WITH {EDGES}, {', '.join(ctes)} SELECT id, round(rank, 6) AS rank FROM r{rounds}"
+
+
+@query("pagerank_tolerance", _settled_sql(30, 0.01))
 def pagerank_tolerance(t):
     return G.page_rank(t.edges, 0.01).withColumn("rank", F.round("rank", 6))
 

@@ -78,6 +78,12 @@ def minute_counts(clicks: DataFrame) -> DataFrame:
     )
 
 
+def minute_windows(clicks: DataFrame) -> DataFrame:
+    """The same counts over one-minute windows, whose state a watermark on ``ts`` can drop."""
+    counted = clicks.groupBy(F.window("ts", "1 minute").alias("w"), "ad_id").agg(F.count("*").alias("n"))
+    return counted.select("ad_id", F.col("w.start").alias("minute"), "n")
+
+
 def trend(per_minute: DataFrame, length: int = 30) -> DataFrame:
     """Clicks per ad in every non-empty window of ``length`` minutes that slides by one minute.
 

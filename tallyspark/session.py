@@ -75,3 +75,21 @@ def remove(spark: SparkSession, path: str) -> None:
 def make_folder(spark: SparkSession, path: str) -> None:
     fs, target = _file_system(spark, path)
     fs.mkdirs(target)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly below ``path``, without hidden ones."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(target) if f.isDirectory()]
+    return sorted(n for n in names if n[0] not in "._")
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Moves a folder in one step; nothing may be at ``target``."""
+    fs, old = _file_system(spark, source)
+    _, new = _file_system(spark, target)
+    fs.mkdirs(new.getParent())
+    if not fs.rename(old, new):
+        raise RuntimeError(f"cannot move {source} to {target}")

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clicks as C
 from ..session import RUNTIME_CONF, scratch_path
-from .sinks import BatchTable, KeySet, SliceTable
+from .sinks import COMPACT_EVERY, BatchTable, KeySet, SliceTable
 
 
 # State on local disk with a change log, so that it may outgrow the executors' memory and a
@@ -64,12 +64,19 @@ def running_totals_to(
     return start(totals, table.write, checkpoint, "update", every)
 
 
-def minute_counts_to(table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
+def minute_counts_to(
+    table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None, watermark: str | None = None
+) -> StreamingQuery:
     """Counts per (ad, minute), from which ``clicks.trend`` makes the sliding windows.
 
-    The state holds one row per minute instead of one per window a minute belongs to.
+    The state holds one row per minute instead of one per window a minute belongs to. With a
+    watermark, minutes that are over for that long leave it; later clicks are not counted.
     """
-    return start(C.minute_counts(clicks), table.write, checkpoint, "update", every)
+    if watermark:
+        counts = C.minute_windows(clicks.withWatermark("ts", watermark))
+    else:
+        counts = C.minute_counts(clicks)
+    return start(counts, table.write, checkpoint, "update", every)
 
 
 def sliding_counts_to(
@@ -103,17 +110,17 @@ class ClickTables:
     def __post_init__(self):
         s, p = self.spark, self.path
         self.user_clicks = BatchTable(
-            s, f"{p}/user_clicks", "day date, user_id bigint, ad_id bigint, n bigint", ["day", "user_id", "ad_id"]
+            s, f"{p}/user_clicks", "day date, user_id bigint, ad_id bigint, n bigint", ["day", "user_id", "ad_id"], "day"
         )
         self.blacklist = KeySet(s, f"{p}/blacklist", "user_id bigint")
         self.totals = BatchTable(
-            s, f"{p}/totals", "day date, ad_id bigint, province string, city string, n bigint", C.TOTAL_KEYS
+            s, f"{p}/totals", "day date, ad_id bigint, province string, city string, n bigint", C.TOTAL_KEYS, "day"
         )
         self.top_ads = SliceTable(
             s, f"{p}/top_ads", "ad_id bigint, n bigint, rank int, day date, province string", ["day", "province"]
         )
         self.per_minute = BatchTable(
-            s, f"{p}/per_minute", "ad_id bigint, minute timestamp, n bigint", ["ad_id", "minute"]
+            s, f"{p}/per_minute", "day date, ad_id bigint, minute timestamp, n bigint", ["day", "ad_id", "minute"], "day"
         )
 
 
@@ -121,38 +128,48 @@ class ClickTables:
 class ClickJob:
     """Per batch: drop black-listed users, count, extend the black list, re-rank, count minutes.
 
-    The black list is read again for every batch. A click repeated within a batch (same time,
+    The black list is read again for every batch. Only the days a batch touches are read, and
+    folders are folded once a day has ``compact_every`` of them. A click repeated within a batch (same time,
     address, user, ad and place) is not valid and does not count towards the users' totals.
     """
 
     tables: ClickTables
     threshold: int = 50
     top: int = 5
+    compact_every: int = COMPACT_EVERY
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         t = self.tables
         before = F.col("batch") < batch_id
+        # first of all: what follows reads the list again whenever it is written to
+        t.blacklist.compact(batch_id - 1, self.compact_every)
         kept = C.without_blacklisted(batch, t.blacklist.current(before)).persist()
         try:
-            # one row; stored batches of other days are skipped by their files' statistics
-            first, last = kept.agg(F.min("day"), F.max("day")).first()
-            recent = F.col("day").between(first, last)
+            days = [r["day"] for r in kept.select("day").distinct().collect()]  # the few days of a batch
+            self.fold(batch_id - 1, days)
             valid = C.valid_clicks(C.batch_counts(kept)).withColumn("day", F.to_date(F.timestamp_millis("ts_ms")))
             t.user_clicks.write(C.daily_user_counts(valid), batch_id)
             touched = valid.select("day", "user_id", "ad_id").distinct()
-            history = t.user_clicks.rows(recent).join(touched, ["day", "user_id", "ad_id"], "left_semi")
+            history = t.user_clicks.rows(days=days).join(touched, ["day", "user_id", "ad_id"], "left_semi")
             sums = history.groupBy("day", "user_id", "ad_id").agg(F.sum("n").alias("n"))
             t.blacklist.add(C.blacklisted(sums, self.threshold), batch_id)
 
             t.totals.write(C.running_totals(kept), batch_id)
             slices = kept.select("day", "province").distinct()
-            affected = t.totals.rows(recent).join(slices, ["day", "province"], "left_semi")
+            affected = t.totals.rows(days=days).join(slices, ["day", "province"], "left_semi")
             t.top_ads.replace(C.province_top(affected, self.top))
 
-            t.per_minute.write(C.minute_counts(kept), batch_id)
+            t.per_minute.write(C.minute_counts(kept).withColumn("day", F.to_date("minute")), batch_id)
         finally:
             kept.unpersist()
 
+    def fold(self, upto: int, days: list) -> None:
+        """Folds complete batches of the days in use."""
+        t = self.tables
+        t.user_clicks.compact(upto, days, at_least=self.compact_every)
+        t.totals.compact(upto, days, at_least=self.compact_every)
+        t.per_minute.compact(upto, days, at_least=self.compact_every)
+
     def start(self, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         return start(clicks, self, checkpoint, "append", every)
 

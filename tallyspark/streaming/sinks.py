@@ -6,51 +6,121 @@ counts once however often it runs.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import make_folder
+from ..session import make_folder, remove, rename, subfolders
+
+COMPACT_EVERY = 16
 
 
 class BatchTable:
-    """Rows of (keys…, values…) collected over batches; ``batch`` is the folder name."""
+    """Rows of (keys…, values…) collected over batches; ``batch`` numbers them.
+
+    With ``day``, a key column of dates, rows lie by day, and a reader that names its days lists and
+    reads those alone. ``compact`` folds the batches of a day into one: the merged rows are written
+    aside and moved into place in one step, from when on readers pass over the batches they stand for,
+    which are then removed. So a day has at most as many folders as batches since it was last folded.
+    """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str]):
-        self.spark, self.path, self.keys = spark, path, list(keys)
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], day: str | None = None):
+        self.spark, self.path, self.keys, self.day = spark, path, list(keys), day
         self.schema = T.StructType.fromDDL(schema)
         self.values = [f.name for f in self.schema if f.name not in self.keys]
         make_folder(spark, path)  # an empty table can be read before the first batch
 
     def write(self, df: DataFrame, batch_id: int) -> None:
+        out = df.select(*self.schema.names).withColumn("merged", F.lit(0)).withColumn("batch", F.lit(batch_id))
+        folders = [*([self.day] if self.day else []), "merged", "batch"]
+        if self.day:  # a small day is one file, a large one several
+            out = out.hint("rebalance", self.day)
         (
-            df.select(*self.schema.names)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{self.path}/batch={batch_id}")
+            out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(self.path)
         )
 
-    def rows(self, where: Column | None = None) -> DataFrame:
-        full = T.StructType(self.schema.fields + [T.StructField("batch", T.LongType())])
-        df = self.spark.read.schema(full).parquet(self.path)
+    def _days(self, days: Sequence[date] | None = None) -> list[str]:
+        """Folders of the days, or the table's own."""
+        if not self.day:
+            return [self.path]
+        known = [n for n in subfolders(self.spark, self.path) if n.startswith(f"{self.day}=")]
+        wanted = None if days is None else {f"{self.day}={d.isoformat()}" for d in days}
+        return [f"{self.path}/{n}" for n in known if wanted is None or n in wanted]
+
+    def _batches(self, folder: str) -> tuple[int | None, list[int], list[int]]:
+        """The last merged batch of a folder, all merged ones, and the single ones."""
+        merged, single = (
+            sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, f"{folder}/merged={kind}") if n.startswith("batch="))
+            for kind in (1, 0)
+        )
+        return (merged[-1] if merged else None), merged, single
+
+    def rows(self, where: Column | None = None, days: Sequence[date] | None = None) -> DataFrame:
+        full = T.StructType([*self.schema.fields, T.StructField("merged", T.IntegerType()), T.StructField("batch", T.LongType())])
+        found = {folder: self._batches(folder) for folder in self._days(days)}
+        folders = [f for f, (_, merged, single) in found.items() if merged or single]
+        reader = self.spark.read.schema(full)
+        df = reader.option("basePath", self.path).parquet(*folders) if folders else reader.parquet(self.path).where("false")
+        folded: dict[int | None, list[date]] = {}
+        for folder in folders:
+            folded.setdefault(found[folder][0], []).append(self._date(folder))
+        live = F.lit(not folders)
+        for last, own in folded.items():
+            fresh = F.col("merged") == 0
+            if last is not None:
+                fresh = (fresh & (F.col("batch") > last)) | ((F.col("merged") == 1) & (F.col("batch") == last))
+            live = live | (fresh & F.col(self.day).isin(own) if self.day else fresh)
+        df = df.where(live).select(*self.schema.names, "batch")
         return df if where is None else df.where(where)
 
-    def sums(self, where: Column | None = None) -> DataFrame:
-        """Current rows when batches hold increments."""
-        return self.rows(where).groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values])
+    def _date(self, folder: str) -> date | None:
+        return date.fromisoformat(folder.rpartition("=")[2]) if self.day else None
+
+    def sums(self, where: Column | None = None, days: Sequence[date] | None = None) -> DataFrame:
+        """Current rows when batches hold increments; without values, the distinct keys."""
+        rows = self.rows(where, days)
+        if not self.values:
+            return rows.select(*self.keys).distinct()
+        return rows.groupBy(*self.keys).agg(*[F.sum(v).alias(v) for v in self.values])
 
-    def latest(self, where: Column | None = None) -> DataFrame:
+    def latest(self, where: Column | None = None, days: Sequence[date] | None = None) -> DataFrame:
         """Current rows when batches hold new values for the keys they touch."""
         newest = [F.max_by(v, "batch").alias(v) for v in self.values]
-        return self.rows(where).groupBy(*self.keys).agg(*newest)
+        return self.rows(where, days).groupBy(*self.keys).agg(*newest)
+
+    def compact(self, upto: int, days: Sequence[date] | None = None, increments: bool = True, at_least: int = COMPACT_EVERY) -> None:
+        """Folds the batches up to ``upto``, which must be complete, where a day has ``at_least`` of them."""
+        due = {}
+        for folder in self._days(days):
+            _, merged, single = self._batches(folder)
+            old = [b for b in single if b <= upto]
+            if len(old) >= at_least:
+                due[folder] = (merged, old)
+        if not due:
+            return
+        chosen = [self._date(f) for f in due] if self.day else None
+        until = F.col("batch") <= upto
+        state = self.sums(until, chosen) if increments else self.latest(until, chosen)
+        aside = f"{self.path}/_aside-{uuid.uuid4().hex}"
+        state = state.hint("rebalance", self.day) if self.day else state
+        state.select(*self.schema.names).write.partitionBy(*([self.day] if self.day else [])).parquet(aside)
+        for folder, (merged, old) in due.items():
+            rename(self.spark, aside + folder.removeprefix(self.path), f"{folder}/merged=1/batch={old[-1]}")
+            for b in old:
+                remove(self.spark, f"{folder}/merged=0/batch={b}")
+            for b in merged:
+                remove(self.spark, f"{folder}/merged=1/batch={b}")
+        remove(self.spark, aside)
 
     def compacted(self, path: str, upto: int, increments: bool = True) -> BatchTable:
         """A new table at ``path`` whose batch ``upto`` holds the state up to that batch."""
         until = F.col("batch") <= upto
         state = self.sums(until) if increments else self.latest(until)
-        out = BatchTable(self.spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema), self.keys)
+        out = BatchTable(self.spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema), self.keys, self.day)
         out.write(state, upto)
         return out
 
@@ -69,6 +139,9 @@ class KeySet:
     def current(self, where: Column | None = None) -> DataFrame:
         return self.table.rows(where).select(*self.table.keys)
 
+    def compact(self, upto: int, at_least: int = COMPACT_EVERY) -> None:
+        self.table.compact(upto, at_least=at_least)
+
 
 class SliceTable:
     """Rows stored by slice; writing replaces exactly the slices present in the data."""

@@ -104,7 +104,7 @@ def test_click_job_equals_batch(spark, parts, tables):
     assert rows(t.totals.sums()) == rows(C.running_totals(tables.clicks))
     want = C.province_top(C.running_totals(tables.clicks)).select("ad_id", "n", "rank", "day", "province")
     assert rows(t.top_ads.current()) == rows(want)
-    assert rows(t.per_minute.sums()) == rows(C.minute_counts(tables.clicks))
+    assert rows(t.per_minute.sums().drop("day")) == rows(C.minute_counts(tables.clicks))
     valid = C.valid_clicks(C.batch_counts(tables.clicks)).withColumn("day", F.to_date(F.timestamp_millis("ts_ms")))
     assert rows(t.user_clicks.sums()) == rows(C.daily_user_counts(valid))
     assert t.blacklist.current().count() == 0
@@ -169,3 +169,26 @@ def test_replacing_a_slice_keeps_the_others(spark):
     table.replace(make([(1, "2024-01-01", "x"), (2, "2024-01-01", "y"), (3, "2024-01-02", "x")]))
     table.replace(make([(9, "2024-01-01", "x")]))
     assert sorted(r.v for r in table.current().collect()) == [2, 3, 9]
+
+
+def test_folders_stay_few_over_many_batches(spark):
+    t = S.new_tables(spark)
+    job = S.ClickJob(t, threshold=5, compact_every=3)
+    folders = []
+    for i in range(9):
+        job(_clicks(spark, [(1000 * i, 7, 1), (1000 * i + 86_400_000 * (i % 2), 8, 2)]), i)
+        folders.append(len(t.totals.rows().inputFiles()))
+    assert max(folders) <= 2 * (3 + 1)  # of two days, three batches and a folded one each
+    assert rows(t.totals.sums().groupBy("ad_id").agg(F.sum("n"))) == [(1, 6), (2, 9)]
+    assert rows(t.blacklist.current()) == [(7,)]
+
+
+def test_minute_windows_with_watermark(spark, tables):
+    own = S.stream_session(spark)
+    table = BatchTable(spark, scratch_path(spark, "t"), "ad_id bigint, minute timestamp, n bigint", ["ad_id", "minute"])
+    S.run_to_end(S.minute_counts_to(table, tables.click_stream(own), scratch_path(spark, "c"), watermark="1 hour"))
+    assert rows(table.latest()) == rows(C.minute_counts(tables.clicks))
+
+
+def test_stream_session_keeps_the_runtime_settings(spark):
+    assert S.stream_session(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"

@@ -8,7 +8,8 @@ occurrence, so that a text is not lost with its copies; all others go.
 
 Defined results: a null text stays null and an empty one empty; blank lines are never removed; a null
 site is no site; among repeated rows of the smallest doc_id, each keeps the line; an empty table gives
-no rows; further columns are kept, and the working columns have names of their own.
+no rows; rows without a doc_id come last, and a line that only they have stays in each; further columns
+are kept, and the working columns have names of their own.
 """
 
 from __future__ import annotations
@@ -27,14 +28,19 @@ ERRORS = 4  # standard errors of the sketch on either side of the threshold
 
 def line_key(line: Column) -> Column:
     """A 128-bit hash of the trimmed line; null for a blank one."""
-    trimmed = F.trim(F.translate(line, "\t\r\x0b\f", "    "))
-    return F.when(trimmed != "", F.unhex(F.md5(trimmed.cast("binary"))))
+    trimmed = F.btrim(line, F.lit(" \t\r\x0b\f"))
+    return F.when(trimmed != "", F.struct(F.xxhash64(trimmed).alias("a"), F.xxhash64(trimmed, F.lit(1)).alias("b")))
 
 
 def occurrences(docs: DataFrame, text: str, doc_id: str, site: str) -> DataFrame:
-    """(key, id, site): every line that is not blank, once per row of ``docs``."""
+    """(key, id, site, place): every line that is not blank, once per row of ``docs``. ``place`` is a hash of
+    the row's id and text; rows that share it are alike and lose the same lines."""
     keys = F.array_distinct(F.filter(F.transform(F.split(F.col(text), "\n"), line_key), lambda k: k.isNotNull()))
-    return docs.select(F.col(doc_id).alias("id"), F.col(site).alias("site"), F.explode(keys).alias("key"))
+    return docs.select(_place(text, doc_id).alias("place"), F.col(doc_id).alias("id"), F.col(site).alias("site"), F.explode(keys).alias("key"))
+
+
+def _place(text: str, doc_id: str) -> Column:
+    return F.xxhash64(F.col(doc_id), F.col(text))
 
 
 def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K) -> DataFrame:
@@ -69,26 +75,27 @@ def remove_boilerplate(
     removed: str = "removed_lines",
 ) -> DataFrame:
     """``docs`` with boilerplate lines taken out of ``text``, and their number in ``removed``."""
-    lines = occurrences(docs, text, doc_id, site)
+    lines = materialise(occurrences(docs, text, doc_id, site))  # read three times
     spread = materialise(line_spread(lines, min_sites))
     names = [c for c in docs.columns if c != removed]
-    # distinct keys of one row are at most its lines; rows with one doc_id share what is found
+    # the distinct keys of one row are at most its lines
     found = (
-        lines.join(spread, "key").select("id", "key", F.col("first_id").eqNullSafe(F.col("id")).alias("keeps"))
-        .distinct().groupBy("id")
+        lines.join(spread, "key").select("place", "key", F.col("first_id").eqNullSafe(F.col("id")).alias("keeps"))
+        .distinct().groupBy("place")
         .agg(F.collect_list(F.when(~F.col("keeps"), F.col("key"))).alias("_gone"), F.collect_list(F.when(F.col("keeps"), F.col("key"))).alias("_once"))
-        .withColumnRenamed("id", "_id")
+        .withColumnRenamed("place", "_place").withColumn("_touched", F.lit(True))
     )
-    joined = docs.select(*names).join(found, F.col(doc_id).eqNullSafe(F.col("_id")), "left")
-    split = joined.withColumn("_lines", F.split(F.col(text), "\n")).withColumn("_keys", F.transform("_lines", line_key))
-    gone, once = F.coalesce("_gone", F.array().cast("array<binary>")), F.coalesce("_once", F.array().cast("array<binary>"))
+    joined = docs.select(*names).join(found, _place(text, doc_id) == F.col("_place"), "left")
+    split = joined.withColumn("_lines", F.when(F.col("_touched"), F.split(F.col(text), "\n")))
+    split = split.withColumn("_keys", F.transform("_lines", line_key))
+    gone, once = F.coalesce("_gone", F.array().cast("array<struct<a:bigint,b:bigint>>")), F.coalesce("_once", F.array().cast("array<struct<a:bigint,b:bigint>>"))
 
     def stays(line: Column, i: Column) -> Column:
         key = F.get("_keys", i)
         repeated = F.array_contains(once, key) & (F.array_position("_keys", key) != i + 1)
         return key.isNull() | ~(F.array_contains(gone, key) | repeated)
 
-    untouched = F.col("_id").isNull()
+    untouched = F.col("_touched").isNull()
     kept = split.withColumn("_kept", F.when(~untouched, F.filter("_lines", stays)))
     return kept.select(
         *[F.when(untouched, F.col(text)).otherwise(F.array_join("_kept", "\n")).alias(text) if c == text else F.col(c) for c in names],

@@ -18,7 +18,7 @@ ODD = [
     None, "", " ", "a", "  x ", "don't we've 'S \"'s r're", "é 漢字かな 😀👍🏽", "\n\na \n b\r\n", "x" * 3000,
     "<|endoftext|> a<|endoftext|>", "12 3½ 4²", "a\x1cb\x85\xa0c　d", "the the the the", "\x00a",
 ]
-CLASH = ["host", "rule", "score", "n_words", "ids", "findings", "fp", "sequence_id", "_row"]
+CLASH = ["score", "ids", "fp", "n_tokens", "n_words", "lang_pred", "word", "key", "place", "offset"]
 
 
 def documents(spark, texts):
@@ -295,6 +295,13 @@ def test_repeated_rows_of_a_document_keep_their_lines(spark):
     assert got == [""] + ["x y\nz"] * 9
 
 
+def test_rows_without_an_id_lose_their_lines(spark):
+    rows = [(1, "x y\nz", "a"), (2, "x y", "b"), (None, "x y\nq", "c"), (None, "only", "d"), (None, "only", "e"), (None, "only", "f")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = linededup.remove_boilerplate(docs, min_sites=3).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == [(0, "only"), (0, "only"), (0, "only"), (0, "q"), (1, "x y\nz"), (2, "")]
+
+
 # secrets
 
 
@@ -331,3 +338,15 @@ def test_tree_conditions_agree_with_the_trees(spark):
     rows = spark.createDataFrame([tuple(map(float, r)) for r in x[:50]], ", ".join(f"{f} double" for f in secrets.FEATURES))
     got = [r.s for r in rows.select(F.struct("*").alias("c")).select(secrets.score(trees, "c").alias("s")).collect()]
     assert got == pytest.approx([np.mean([t.predict(r) for t in trees]) for r in x[:50]], abs=1e-5)
+
+
+def test_empty_tables_and_clashing_names(spark):
+    some = documents(spark, ["the and of in a", None, ""])
+    clash = some.select("*", *[F.lit("x").alias(c) for c in CLASH])
+    for docs, n in ((clash, 3), (clash.limit(0), 0)):
+        assert tokencount.with_token_counts(docs).count() == n
+        assert quality.statistics(docs).count() == n
+        assert langid.identify(docs).count() == n
+        assert linededup.remove_boilerplate(docs).count() == n
+        assert secrets.redact(docs, []).count() == n
+        assert len({r.doc_id for r in packing.pack(packing.pieces(docs)).collect()}) == n

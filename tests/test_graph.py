@@ -56,7 +56,7 @@ def test_followers(social):
     assert {r.id: r.mean_age for r in G.mean_follower_age(v, e).collect()} == {1: 34.5, 2: 60.0, 3: 55.0, 4: 27.0, 6: 60.0}
     report = {r.id: r.report for r in G.follower_report(v, e).collect()}
     assert report[5] == "Nobody follows Ed."
-    assert report[1] == "David is the oldest follower of Alice."
+    assert report[1] == "The oldest who follows Alice is David."
 
 
 def test_shortest_paths(social):

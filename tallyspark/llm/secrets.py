@@ -1,11 +1,14 @@
 """Secret scan: candidates from words, judged by a random forest written as SQL conditions.
 
-A candidate is a word of at least ``MIN_CHARS`` characters that contains a digit, or one that assigns
-to a secret's name. Its features are its length, the transitions between its characters, how much of it dictionary
+A candidate is a word of at least ``MIN_CHARS`` characters that contains a digit, one that assigns
+to a secret's name, one that follows such a name and ``=``, ``:`` or ``is``, or an address with a password
+(``://user:password@``). Its features are its length, the transitions between its characters, how much of it dictionary
 words cover, whether it looks like a path, address or domain, and what its neighbouring words say.
 The forest learns from labelled findings; where none are given, findings are labelled by what is
-certain: a fixed key format or an assignment to a secret's name is a secret, an address, path, number
-or word is not. ``findings`` lists spans, ``redact`` takes the secrets out of the texts.
+certain: a fixed key format or an assignment to a secret's name is a secret, any other address, path, number
+or word is not; what follows a name and ``is`` and has lower-case letters only has no label. ``findings`` lists spans,
+``redact`` takes the secrets out of the texts: long ones with a digit wherever they occur, others where they follow a
+secret's name or a user, since they may be ordinary words or parts of some.
 
 Scoring is done inside the row, by functions on arrays: no shuffle, no Python on the executors.
 Learning uses the ``sample_rows`` labelled findings with the smallest hash.
@@ -37,6 +40,9 @@ KEY_FORMATS = (
 SECRET_NAMES = r"passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|auth|bearer|credential"
 # Placeholders that stand where a secret would.
 PLACEHOLDERS = r"example|sample|dummy|test|changeme|placeholder|xxxx|redacted|your[_-]"
+# What stands between a name and the secret in a later word, at the end of what is before the secret.
+FOLLOWS = rf"(?i)(?:{SECRET_NAMES})[\"']?\s*"
+USER_INFO = r"://[^/\s:@]*:([^/\s@]+)@"
 COMMON_PARTS = r"the|ing|and|ion|ent|for|tion|com|net|org|www|http|html|user|mail|file|page|name|data|index|image"
 
 FEATURES = [
@@ -50,27 +56,38 @@ def _gap(text: Column, pattern: str) -> Column:
     return (F.char_length(text) - F.char_length(F.regexp_replace(text, pattern, ""))).cast("double")
 
 
+def is_long(word: Column) -> Column:
+    """Whether a word is a candidate by itself: a value like it is no ordinary word."""
+    return (F.char_length(word) >= MIN_CHARS) & word.rlike("[0-9]")
+
+
 def candidates() -> Column:
-    """Array of (place, word, before, after) of those of _words that may hold a key."""
-    def struct(word: Column, i: Column, words: Column) -> Column:
-        return F.struct(
-            i.alias("place"), word.alias("word"),
-            F.concat_ws(" ", F.get(words, i - 2), F.get(words, i - 1)).alias("before"),
-            F.coalesce(F.get(words, i + 1), F.lit("")).alias("after"),
-        )
-
-    words = F.col("_words")
-    assigns = rf"(?i)(?:{SECRET_NAMES})[\"']?[=:][\"']?[^\"'=:]{{4,}}"
-    places = F.transform(
-        words, lambda w, i: F.when(((F.char_length(w) >= MIN_CHARS) & w.rlike("[0-9]")) | w.rlike(assigns), i)
+    """Array of (place, word, before) of those of _words that may hold a key."""
+    words, none = F.col("_words"), F.lit("")
+    placed = F.transform(words, lambda w, i: F.struct(i.alias("place"), w.alias("word")))
+    # pairs of arrays, not places looked up, so that the array of words is made once for each
+    one = F.zip_with(placed, F.concat(F.array(none), words), lambda c, p: F.struct(c["place"].alias("place"), c["word"].alias("word"), p.alias("p")))
+    two = F.zip_with(
+        one, F.concat(F.array(none, none), words),
+        lambda c, q: F.struct(c["place"].alias("place"), c["word"].alias("word"), c["p"].alias("p"), q.alias("q")),
     )
-    return F.transform(F.filter(places, lambda i: i.isNotNull()), lambda i: struct(F.get(words, i), i, words))
+    assigns = rf"(?i)(?:{SECRET_NAMES})[\"']?[=:][\"']?[^\"'=:]{{4,}}"
+
+    def kept(c: Column) -> Column:
+        word, p = c["word"], c["p"]
+        ends = p.endswith("=") | p.endswith(":") | p.endswith("is") | p.endswith("IS") | p.endswith("Is") | p.endswith("iS")
+        follows = ends & F.concat_ws(" ", c["q"], p).rlike(rf"{FOLLOWS}(?:[=:]+|\bis)$") & ~word.rlike("^[=:]+$")
+        return is_long(word) | word.rlike(assigns) | (word.contains("://") & word.rlike(USER_INFO)) | follows
+
+    found = F.filter(F.filter(two, lambda c: c["word"].isNotNull()), kept)
+    return F.transform(found, lambda c: F.struct(c["place"].alias("place"), c["word"].alias("word"), F.concat_ws(" ", c["q"], c["p"]).alias("before")))
 
 
 def value_of(word: Column) -> Column:
-    """The key itself: what follows a name and an equals sign or colon, without quotes and marks."""
+    """The key itself: what follows a name and an equals sign or colon, without quotes and marks; of an
+    address with a password, the password."""
     bare = F.regexp_replace(word, rf"^[\"'(\[{{<]*(?:[A-Za-z_.-]{{1,40}}[=:]+)?[\"'(\[{{<]*|[\"')\]}}>.,;:!?]+$", "")
-    return F.when(F.char_length(bare) > 0, bare).otherwise(word)
+    return F.when(word.rlike(USER_INFO), F.regexp_extract(word, USER_INFO, 1)).when(F.char_length(bare) > 0, bare).otherwise(word)
 
 
 def measured(c: Column) -> list[Column]:
@@ -94,8 +111,9 @@ def measured(c: Column) -> list[Column]:
         flag(word.rlike(r"://|^/|[A-Za-z]/[A-Za-z].*/|\\")),
         flag(word.rlike(r"@|\.[A-Za-z]{2,6}(?:[/?#:]|$)")),
         flag(value.rlike(f"^(?:{KEY_FORMATS})$")),
-        flag(word.rlike(rf"(?i)(?:{SECRET_NAMES})[\"']?[=:]")),
-        flag(c["before"].rlike(rf"(?i)(?:{SECRET_NAMES})[\"']?\s*(?:[=:]+|is)?\s*$")),
+        flag(word.rlike(rf"(?i)(?:{SECRET_NAMES})[\"']?[=:]") | word.rlike(USER_INFO)),
+        F.when(c["before"].rlike(rf"{FOLLOWS}[=:]+$"), 3.0).when(c["before"].rlike(rf"{FOLLOWS}\bis$"), 2.0)
+        .when(c["before"].rlike(rf"{FOLLOWS}$"), 1.0).otherwise(0.0),  # the surer the name says so
         flag(word.rlike(r"^[\"'].*[\"'][.,;)]*$")),
         flag(F.lower(value).rlike(PLACEHOLDERS)),
     ]
@@ -107,7 +125,7 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     found = docs.withColumn("_words", words).withColumn("_candidates", candidates())
     valued = F.transform(
         "_candidates",
-        lambda c: F.struct(c["place"].alias("place"), c["word"].alias("word"), value_of(c["word"]).alias("value"), c["before"].alias("before"), c["after"].alias("after")),
+        lambda c: F.struct(c["place"].alias("place"), c["word"].alias("word"), value_of(c["word"]).alias("value"), c["before"].alias("before")),
     )
     found = found.drop("_words").withColumn("_valued", valued).drop("_candidates")
     features = F.transform(
@@ -118,9 +136,10 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def certain_label(c: Column) -> Column:
     """1 for a certain secret, 0 for a certain false positive, else null."""
-    plain = (c["placeholder"] == 1) | (c["address"] == 1) | (c["path"] == 1) | (c["digits_only"] == 1)
-    secret = (c["key_format"] == 1) | (c["named"] == 1) | (c["named_before"] == 1)
-    return F.when(plain, 0).when(secret, 1).when(c["transitions"] < 0.2, 0)
+    secret = (c["key_format"] == 1) | (c["named"] == 1) | (c["named_before"] == 3) | ((c["named_before"] == 2) & (c["lower_share"] < 1))
+    plain = (c["address"] == 1) | (c["path"] == 1) | (c["digits_only"] == 1)
+    by_name = F.when(c["placeholder"] == 1, 0).when(secret, 1).when(plain, 0).when(c["named_before"] == 1, 1)
+    return by_name.when((c["transitions"] < 0.2) & (c["named_before"] == 0), 0)
 
 
 @dataclass(frozen=True)
@@ -220,7 +239,15 @@ def redact(docs: DataFrame, trees: list[Node], text: str = "text", count: str =
     secrets = found.withColumn("_secrets", F.array_distinct(F.transform(F.filter("findings", lambda c: c["is_secret"]), lambda c: c["value"])))
     # longer values first, so that none is cut by one it contains
     ordered = secrets.withColumn("_ordered", F.reverse(F.array_sort(F.transform("_secrets", lambda v: F.struct(F.char_length(v), v.alias("v"))))))
-    masked = F.aggregate("_ordered", F.col(text), lambda t, s: F.replace(t, s["v"], F.lit(MASK)))
+    opened = rf"((?:{FOLLOWS}(?:[=:]+|\bis)?\s*|://[^/\s:@]*:)[\"'(\[{{<]*)"
+
+    def mask(t: Column, v: Column) -> Column:
+        everywhere = F.replace(t, v, F.lit(MASK))
+        quoted = F.concat(F.lit(r"\Q"), F.replace(v, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+        named = F.regexp_replace(t, F.concat(F.lit(opened), quoted, F.lit(r"(?![A-Za-z0-9])")), F.lit(rf"$1{MASK}"))
+        return F.when(is_long(v), everywhere).when(named != t, named).otherwise(everywhere)
+
+    masked = F.aggregate("_ordered", F.col(text), lambda t, s: mask(t, s["v"]))
     return ordered.select(
         *[F.when(F.size("_secrets") > 0, masked).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in names],
         F.size("_secrets").alias(count),

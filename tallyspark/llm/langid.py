@@ -5,9 +5,9 @@ Each language has a codeword; one binary classifier per bit, on hashed counts of
 the codeword's bit, weighted by how well that bit's classifier did on held-back rows of the language;
 the language with the least loss is chosen. If the second is nearly as near, the row is ambiguous.
 
-Learning uses a bounded sample: ``sample_rows`` rows in all, an even share per language, those with
-the smallest hash of doc_id; at most ``max_langs`` languages, the most frequent. Prediction reads
-whole texts and nothing else.
+Learning uses a bounded sample per language: an even share of ``sample_rows`` rows, but ``LEAST_ROWS`` where
+there are many languages, those with the smallest hash of doc_id. Every language of the learning rows has a
+codeword. Prediction reads whole texts and nothing else.
 
 Defined results: a null text or one without a letter is ``und`` with score 0, as is every text if
 nothing was learned; languages tied in loss go to the alphabetically first; repeated rows are
@@ -29,7 +29,7 @@ from pyspark.sql.types import StructType
 UNKNOWN = "und"
 DIMS = 1 << 13
 SAMPLE_ROWS = 2000
-MAX_LANGS = 64
+LEAST_ROWS = 6  # of a language, so that rows are left to measure its classifiers
 RIDGE = 0.05
 CLEAR_GAP = 0.02
 
@@ -129,20 +129,19 @@ def fit(features: np.ndarray, labels: list[str], ridge: float = RIDGE) -> Model
     return Model(langs, code, weights, bias, trust)
 
 
-def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_langs: int = MAX_LANGS) -> tuple[np.ndarray, list[str]]:
+def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, list[str]]:
     """Scaled features and languages of the bounded sample of ``docs`` (doc_id, text, lang)."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()}
-    share = max(1, sample_rows // max(1, len(counts)))
-    # about three times the share of a language by hash, then exactly the share
-    chance = F.lit(0.0)
-    for lang, n in counts.items():
-        chance = F.when(F.col("lang") == lang, F.lit(min(1.0, 3 * share / n))).otherwise(chance)
+    sizes = rows.groupBy("lang").count()
+    share = max(LEAST_ROWS, sample_rows // max(1, sizes.count()))
+    # about three times the share of a language by hash, but no fewer than 16 hashes' worth, then exactly the share
+    chance = sizes.select("lang", F.least(F.lit(1.0), 3 * F.lit(max(share, 16)) / F.col("count")).alias("chance"))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     ids = (
-        rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < chance * (1 << 20)).select("doc_id", "lang")
+        rows.select("doc_id", "lang").join(F.broadcast(chance), "lang")
+        .where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < F.col("chance") * (1 << 20)).select("doc_id", "lang")
         .withColumn("n", F.row_number().over(order)).where(F.col("n") <= share).select("doc_id", "lang").distinct()
-    )  # at most sample_rows rows
+    )  # at most share rows a language
 
     def run(batches):
         for batch in batches:
@@ -158,7 +157,7 @@ def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, max_langs: in
             )
 
     sampled = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
-    found = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").limit(sample_rows).collect()
+    found = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").collect()
     found.sort(key=lambda r: (r["lang"], r["at"], r["n"]))
     features = np.zeros((len(found), DIMS), np.float32)
     for row, r in zip(features, found):

@@ -2,7 +2,7 @@
 
 Texts are escaped (a space is ``▁``, and one is put in front) and cut into words, where no piece crosses
 a cut: before a space mark, and around characters that occur in no longer piece. Words are counted once
-over the whole table; every substring of a word up to the longest piece is a row, an equi-join with
+over the whole table, and a text sends each of its words once, with the places where it occurs; every substring of a word up to the longest piece is a row, an equi-join with
 the piece table finds the edges of the lattice, and they are grouped by word. A higher-order fold then
 picks the path, and the words' ids are joined back to the texts.
 
@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -158,17 +159,36 @@ def word_ids(words: DataFrame, pieces: Pieces, path=merges) -> DataFrame:
     return chosen.select("word", F.flatten(F.transform(in_path, ids)).alias("ids"))
 
 
+def placed_words(texts: DataFrame) -> DataFrame:
+    """(_row, word, places) of ``texts`` (_row, words): a row per distinct word of a text."""
+
+    def run(batches):
+        for batch in batches:
+            rows, words, places = [], [], []
+            for row, found in zip(batch["_row"].to_pylist(), batch["words"].to_pylist()):
+                own: dict[str, list[int]] = {}
+                for i, word in enumerate(found):
+                    own.setdefault(word, []).append(i)
+                rows += [row] * len(own)
+                words += own.keys()
+                places += own.values()
+            columns = [pa.array(rows, pa.int64()), pa.array(words, pa.string()), pa.array(places, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "word", "places"])
+
+    return texts.select("_row", "words").mapInArrow(run, "_row long, word string, places array<int>")
+
+
 def encode(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "ids", path=merges) -> DataFrame:
     """``texts`` with the ids of ``text``."""
     source = materialise(texts.drop(name).withColumn("_row", F.monotonically_increasing_id()))
     found = F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.word_pattern()), F.lit(0))
-    occurring = source.where(F.col(text).isNotNull()).select("_row", F.posexplode(found).alias("i", "word"))
+    occurring = placed_words(source.where(F.col(text).isNotNull()).select("_row", found.alias("words")))
     known = materialise(word_ids(occurring.select("word").distinct(), pieces, path))
     joined = (
-        occurring.join(known, "word").groupBy("_row")
-        .agg(F.sort_array(F.collect_list(F.struct("i", "ids"))).alias("_parts"))  # one text's words
+        occurring.join(known, "word").groupBy("_row").agg(F.collect_list(F.struct("places", "ids")).alias("_parts"))  # one text's words
     )
-    flat = joined.select("_row", F.flatten(F.transform("_parts", lambda p: p["ids"])).alias(name))
+    spread = F.flatten(F.transform("_parts", lambda p: F.transform(p["places"], lambda i: F.struct(i.alias("i"), p["ids"].alias("ids")))))
+    flat = joined.select("_row", F.flatten(F.transform(F.sort_array(spread), lambda p: p["ids"])).alias(name))
     empty = F.when(F.col(text).isNotNull(), F.array().cast("array<int>"))
     return source.join(flat, "_row", "left").withColumn(name, F.coalesce(name, empty)).drop("_row")
 

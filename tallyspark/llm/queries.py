@@ -101,9 +101,17 @@ def op6_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return anngraph.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def encoded_and_back(texts: DataFrame, *keys: str) -> DataFrame:
+    pieces = lattice.Pieces.load()
+    both = lattice.decode(lattice.encode(texts, pieces), pieces)
+    return both.select(*keys, "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
+@query
+def op8_document_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_and_back(read(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+
+
 @query
 def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    pieces = lattice.Pieces.load()
-    both = lattice.decode(lattice.encode(turns, pieces), pieces)
-    return both.select("conv_id", "turn", "ids", F.size("ids").alias("n_ids"), (F.col("decoded") == F.col("text")).alias("round_trip"))
+    return encoded_and_back(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import anngraph, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
+from . import anngraph, divergence, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -115,3 +115,47 @@ def op8_document_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_and_back(read(spark, sf_dir, "conversations").select("conv_id", "turn", "text"), "conv_id", "turn")
+
+
+@query
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+ORACLES["op12_source_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT d, lang, source, translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM docs)
+), kept AS (
+  SELECT lang, term, count(*) AS total FROM words GROUP BY lang, term HAVING count(DISTINCT d) >= 10
+), lang_sizes AS (
+  SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang
+), counts AS (
+  SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept k ON w.lang = k.lang AND w.term = k.term GROUP BY ALL
+), sizes AS (
+  SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.total,
+         CAST(1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 2)) // (coalesce(s.n, 0) + 2 * l.v) AS HUGEINT) AS p,
+         CAST(1 + (1000000000::HUGEINT * (k.total + 2)) // (l.n + 2 * l.v) AS HUGEINT) AS q
+  FROM groups g JOIN kept k ON g.lang = k.lang JOIN lang_sizes l ON g.lang = l.lang
+  LEFT JOIN sizes s ON g.lang = s.lang AND g.source = s.source
+  LEFT JOIN counts c ON g.lang = c.lang AND g.source = c.source AND k.term = c.term
+), pair_sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+WHERE part = 'pair' OR rank <= 10
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import anngraph, divergence, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter
+from . import anngraph, divergence, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -159,3 +159,8 @@ SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS IN
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
 WHERE part = 'pair' OR rank <= 10
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))

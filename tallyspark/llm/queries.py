@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import configure
-from . import anngraph, divergence, langid, lattice, linededup, packing, quality, secrets, simhash, tokencount, urlfilter, variants
+from . import anngraph, divergence, langid, lattice, linededup, packing, quality, secrets, simhash, syncmers, tokencount, urlfilter, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +164,13 @@ WHERE part = 'pair' OR rank <= 10
 @query
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.group_variants(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op11_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = syncmers.edited_pairs(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pairs.select(
+        "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        syncmers.written(F.col("print")).alias("fingerprint"), syncmers.written(F.col("edited_print")).alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )

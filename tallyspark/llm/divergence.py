@@ -21,9 +21,11 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections import Counter, defaultdict
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,10 +35,12 @@ MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
 #: Postings of a block, terms of a chunk, shards for each shuffle partition, cells of the correction matrices.
-BLOCK = 500_000
+BLOCK = 1_000_000
 CHUNK = 128
 SHARDS_PER_PARTITION = 16
 CELLS = 1 << 21
+#: Pairs of sources corrected at once.
+STEP = 1 << 18
 
 #: Letters are A-Z, lower-cased, a-z and every byte of a longer UTF-8 sequence; all else separates.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -64,41 +68,49 @@ class Block:
         docs.update(set(found))
         self.size += len(counts) + len(docs) - before
 
-    def run(self, shards: int) -> list[tuple]:
-        """(shard, key, documents, sources, counts), sorted; a key is the language, a zero byte and the term."""
-        postings: dict[bytes, tuple[list, list]] = defaultdict(lambda: ([], []))
+    def run(self, shards: int, chunk: int) -> pa.RecordBatch:
+        """Sorted by shard and key (the language, a zero byte, the term), in rows of at most ``chunk`` keys of one shard."""
+        by_lang: dict[str, list[tuple[str, Counter]]] = defaultdict(list)
         for (lang, source), counts in self.counts.items():
+            by_lang[lang].append((source, counts))
+        names = {source: i for i, source in enumerate(sorted({s for _, s in self.counts}))}
+        keys: list[bytes] = []
+        parts = []
+        for lang, docs in self.docs.items():
+            vocabulary = pa.array(list(docs), pa.binary())
+            for source, counts in by_lang[lang]:
+                at = pc.index_in(pa.array(list(counts), pa.binary()), value_set=vocabulary).to_numpy() + len(keys)
+                parts.append((at, np.full(len(at), names[source]), np.fromiter(counts.values(), np.int64, len(at))))
             prefix = lang.encode() + b"\0"
-            for term, n in counts.items():
-                sources, ns = postings[prefix + term]
-                sources.append(source)
-                ns.append(n)
-        docs = {lang.encode() + b"\0": counts for lang, counts in self.docs.items()}
-        rows = []
-        for key, (sources, ns) in postings.items():
-            at = key.rfind(b"\0") + 1
-            rows.append((zlib.crc32(key) % shards, key, docs[key[:at]][key[at:]], sources, ns))
-        rows.sort(key=lambda r: r[:2])
-        return rows
-
-
-def _chunks(run: list[tuple], size: int) -> pa.RecordBatch:
-    """A run as rows of at most ``size`` terms of one shard each."""
-    starts = [0] if run else []
-    for i in range(1, len(run)):
-        if run[i][0] != run[starts[-1]][0] or i - starts[-1] == size:
-            starts.append(i)
-    parts = [run[a:b] for a, b in zip(starts, [*starts[1:], len(run)])]
-    columns = [
-        pa.array([p[0][0] for p in parts], pa.int32()),
-        pa.array([p[0][1] for p in parts], pa.binary()),
-        pa.array([[r[1] for r in p] for p in parts], pa.list_(pa.binary())),
-        pa.array([[r[2] for r in p] for p in parts], pa.list_(pa.int64())),
-        pa.array([[len(r[3]) for r in p] for p in parts], pa.list_(pa.int32())),
-        pa.array([[s for r in p for s in r[3]] for p in parts], pa.list_(pa.string())),
-        pa.array([[n for r in p for n in r[4]] for p in parts], pa.list_(pa.int64())),
-    ]
-    return pa.RecordBatch.from_arrays(columns, ["shard", "head", "keys", "docs", "sizes", "sources", "counts"])
+            keys += [prefix + term for term in docs]
+        in_docs = np.concatenate([np.fromiter(d.values(), np.int64, len(d)) for d in self.docs.values()])
+        term, source, count = (np.concatenate(x) for x in zip(*parts))
+        shard = np.fromiter(map(zlib.crc32, keys), np.int64, len(keys)) % shards
+        all_keys = pa.array(keys, pa.binary())
+        order = pc.sort_indices(all_keys).to_numpy()
+        order = order[np.argsort(shard[order], kind="stable")]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        term, shard = place[term], shard[order]
+        by_term = np.argsort(term, kind="stable")
+        first = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]])
+        within = np.arange(len(shard)) - np.repeat(first, np.diff(np.r_[first, len(shard)]))
+        starts = np.flatnonzero(within % chunk == 0)
+        sizes = np.bincount(term, minlength=len(keys))
+        limits = np.r_[starts, len(keys)]
+        postings = np.r_[0, np.cumsum(sizes)][limits]
+        all_keys = all_keys.take(pa.array(order))
+        rows = pa.array(limits, pa.int32())
+        columns = [
+            pa.array(shard[starts], pa.int32()),
+            all_keys.take(pa.array(starts)),
+            pa.ListArray.from_arrays(rows, all_keys),
+            pa.ListArray.from_arrays(rows, pa.array(in_docs[order])),
+            pa.ListArray.from_arrays(rows, pa.array(sizes, pa.int32())),
+            pa.ListArray.from_arrays(pa.array(postings, pa.int32()), pa.array(list(names), pa.string()).take(pa.array(source[by_term]))),
+            pa.ListArray.from_arrays(pa.array(postings, pa.int32()), pa.array(count[by_term])),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["shard", "head", "keys", "docs", "sizes", "sources", "counts"])
 
 
 def runs(docs: DataFrame, shards: int, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
@@ -111,58 +123,65 @@ def runs(docs: DataFrame, shards: int, block: int = BLOCK, chunk: int = CHUNK) -
             for lang, source, text in zip(langs, sources, batch["text"].cast(pa.binary()).to_pylist()):
                 held.add(lang, source, terms(text))
                 if held.size >= block:
-                    yield _chunks(held.run(shards), chunk)
+                    yield held.run(shards, chunk)
                     held = Block()
         if held.size:
-            yield _chunks(held.run(shards), chunk)
+            yield held.run(shards, chunk)
 
     return docs.select("lang", "source", "text").mapInArrow(build, RUNS)
 
 
 class Merger:
-    """Merges chunks that come in the order of their first keys."""
+    """Merges the chunks of one shard after another; they come in the order of their first keys."""
 
     def __init__(self, min_docs: int) -> None:
         self.heap: list[tuple] = []
         self.min_docs = min_docs
-        self.seen = 0
+        self.shard: int | None = None
+        self.pushed = 0
         self.key: bytes | None = None
         self.docs = 0
-        self.counts: Counter = Counter()
+        self.found: list[tuple] = []
         self.out: list[tuple] = []
 
     def push(self, shard: int, keys: list, docs: list, sizes: list, sources: list, counts: list) -> None:
-        ends = np.cumsum(sizes).tolist()
+        if shard != self.shard:
+            self.drain()
+            self.shard = shard
+        else:
+            self.drain(keys[0])
+        ends = list(accumulate(sizes))
         entries = zip(keys, docs, [0, *ends], ends)
-        chunk = (entries, sources, counts)
-        key, n, a, b = next(entries)
-        self.seen += 1
-        heapq.heappush(self.heap, (shard, key, self.seen, n, a, b, chunk))
+        self.pushed += 1
+        heapq.heappush(self.heap, (keys[0], self.pushed, next(entries), entries, sources, counts))
 
-    def drain(self, shard: int | None = None, key: bytes | None = None) -> None:
-        """Merges all entries before (shard, key), or all."""
+    def drain(self, key: bytes | None = None) -> None:
+        """Merges all entries before ``key``, or all."""
         heap = self.heap
-        while heap and (shard is None or heap[0][:2] < (shard, key)):
-            at, found, seen, n, a, b, chunk = heap[0]
-            if found != self.key:
+        while heap and (key is None or heap[0][0] < key):
+            at, pushed, (_, n, a, b), entries, sources, counts = heap[0]
+            if at != self.key:
                 self.flush()
-                self.key = found
+                self.key = at
             self.docs += n
-            _, sources, counts = chunk
-            for i in range(a, b):
-                self.counts[sources[i]] += counts[i]
-            following = next(chunk[0], None)
+            self.found.append((sources, counts, a, b))
+            following = next(entries, None)
             if following is None:
                 heapq.heappop(heap)
             else:
-                heapq.heapreplace(heap, (at, following[0], seen, *following[1:], chunk))
+                heapq.heapreplace(heap, (following[0], pushed, following, entries, sources, counts))
 
     def flush(self) -> None:
-        if self.key is not None and self.docs >= self.min_docs:
+        """The current term is over: it is put out if it is kept."""
+        if self.docs >= self.min_docs:
+            total: dict[str, int] = defaultdict(int)
+            for sources, counts, a, b in self.found:
+                for source, n in zip(sources[a:b], counts[a:b]):
+                    total[source] += n
             lang, _, term = self.key.rpartition(b"\0")
-            ordered = sorted(self.counts.items())
-            self.out.append((lang.decode(), term.decode(), self.docs, self.counts.total(), [s for s, _ in ordered], [n for _, n in ordered]))
-        self.key, self.docs, self.counts = None, 0, Counter()
+            sources = sorted(total)
+            self.out.append((lang.decode(), term.decode(), self.docs, sum(total.values()), sources, [total[s] for s in sources]))
+        self.docs, self.found = 0, []
 
     def merged(self) -> pa.RecordBatch:
         names = ["lang", "term", "docs", "total", "sources", "counts"]
@@ -178,8 +197,7 @@ def merge(spilled: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     def run(batches):
         merger = Merger(min_docs)
         for batch in batches:
-            for shard, head, *chunk in zip(*(c.to_pylist() for c in batch.columns)):
-                merger.drain(shard, head)
+            for shard, _, *chunk in zip(*(c.to_pylist() for c in batch.columns)):
                 merger.push(shard, *chunk)
                 if len(merger.out) >= 4096:
                     yield merger.merged()
@@ -223,9 +241,10 @@ class Corrections:
         self.sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
         self.cells = 0
 
-    def _places(self, lang: str, sources: list[str]) -> np.ndarray:
+    def places(self, lang: str, sources: list[str]) -> np.ndarray:
+        """Places of sources in the matrices of a language, which grow to hold them."""
         ids = self.ids[lang]
-        places = np.array([ids.setdefault(s, len(ids)) for s in sources])
+        places = np.array([ids.setdefault(s, len(ids)) for s in sources], np.int64)
         n, held = len(ids), self.sums.get(lang)
         if held is None or n > len(held[0]):
             size = max(16, 1 << (n - 1).bit_length())
@@ -238,14 +257,14 @@ class Corrections:
             self.sums[lang] = grown
         return places
 
-    def add(self, lang: str, sources: list[str], p: np.ndarray, low: np.ndarray) -> None:
-        """One term: its sources, their values there, and their values at a count of zero."""
-        at = self._places(lang, sources)
-        own, zero = p[:, None], low[:, None]
-        change = _f(own, p[None, :]) - _f(own, low[None, :]) - _f(zero, p[None, :])
+    def add(self, lang: str, at: np.ndarray, p: np.ndarray, low: np.ndarray) -> None:
+        """Terms with as many sources each, a row per term: their places, values, and values at a count of zero."""
         both, value = self.sums[lang]
-        both[at[:, None], at[None, :]] += 1
-        value[at[:, None], at[None, :]] += change
+        change = _change(p, low, p, low)
+        cell = at[:, :, None] * len(both) + at[:, None, :]
+        both += np.bincount(cell.ravel(), minlength=both.size).reshape(both.shape)
+        # sums of doubles are exact: a step holds few enough terms of 32 bits
+        value += np.bincount(cell.ravel(), change.ravel(), value.size).astype(np.int64).reshape(value.shape)
 
     def flushed(self) -> pa.RecordBatch:
         rows = []
@@ -260,6 +279,12 @@ class Corrections:
         return pa.RecordBatch.from_arrays(columns, ["lang", "source", "item", "both", "change"])
 
 
+def _change(p: np.ndarray, low: np.ndarray, q: np.ndarray, q_low: np.ndarray) -> np.ndarray:
+    """What a common term adds over both one-sided values, for the sources in the last axis of either side."""
+    own, zero, other, other_zero = p[..., :, None], low[..., :, None], q[..., None, :], q_low[..., None, :]
+    return _f(own, other) - _f(own, other_zero) - _f(zero, other)
+
+
 def corrections(postings: DataFrame, cells: int = CELLS) -> DataFrame:
     """(lang, source, item, both, change) of ``postings`` (lang, term, source, p, low), for pairs with a common term."""
     grouped = postings.groupBy("lang", "term").agg(F.collect_list(F.struct("source", "p", "low")).alias("found"))
@@ -268,35 +293,47 @@ def corrections(postings: DataFrame, cells: int = CELLS) -> DataFrame:
     def run(batches):
         held = Corrections()
         for batch in batches:
-            for lang, found in zip(batch["lang"].to_pylist(), batch["found"].to_pylist()):
-                sources = [x["source"] for x in found]
-                p, low = (np.array([x[k] for x in found], np.int64) for k in ("p", "low"))
-                slices = [slice(i, i + width) for i in range(0, len(found), width)]
-                if len(slices) == 1:
-                    held.add(lang, sources, p, low)
-                else:  # very many sources: in pairs of slices
-                    for i, a in enumerate(slices):
-                        for b in slices[i + 1 :]:
-                            yield from _between(lang, sources, p, low, a, b)
-                        held.add(lang, sources[a], p[a], low[a])
-                        yield held.flushed()
-                if held.cells >= cells:
-                    yield held.flushed()
+            found = batch["found"]
+            starts = found.offsets.to_numpy()
+            entries = found.values
+            names = entries.field("source").dictionary_encode()
+            code = names.indices.to_numpy()
+            p, low = (entries.field(k).to_numpy() for k in ("p", "low"))
+            sizes = np.diff(starts)
+            langs = batch["lang"].dictionary_encode()
+            lang_of = langs.indices.to_numpy()
+            for k, lang in enumerate(langs.dictionary.to_pylist()):
+                own = lang_of == k
+                for size in np.unique(sizes[own & (sizes > 1) & (sizes <= width)]):
+                    firsts = starts[:-1][own & (sizes == size)]
+                    step = max(1, STEP // int(size) ** 2)
+                    for i in range(0, len(firsts), step):
+                        at = firsts[i : i + step, None] + np.arange(size)[None, :]
+                        used, place = np.unique(code[at], return_inverse=True)
+                        place = held.places(lang, names.dictionary.take(pa.array(used)).to_pylist())[place].reshape(at.shape)
+                        held.add(lang, place, p[at], low[at])
+                        if held.cells >= cells:
+                            yield held.flushed()
+                for row in np.flatnonzero(own & (sizes > width)):  # very many sources: in pairs of slices
+                    yield from _wide(lang, names.take(pa.array(np.arange(starts[row], starts[row + 1]))).to_pylist(), p[starts[row] : starts[row + 1]], low[starts[row] : starts[row + 1]], width)
         yield held.flushed()
 
     summed = grouped.select("lang", "found").mapInArrow(run, "lang string, source string, item string, both long, change long")
     return summed.groupBy("lang", "source", "item").agg(F.sum("both").alias("both"), F.sum("change").alias("change"))
 
 
-def _between(lang: str, sources: list[str], p: np.ndarray, low: np.ndarray, a: slice, b: slice):
-    """The pairs between two slices of one term's sources, both ways."""
-    own, zero, other, other_zero = p[a][:, None], low[a][:, None], p[b][None, :], low[b][None, :]
-    change = (_f(own, other) - _f(own, other_zero) - _f(zero, other)).ravel()
-    left, right = np.repeat(sources[a], len(sources[b])).tolist(), sources[b] * len(sources[a])
+def _wide(lang: str, sources: list[str], p: np.ndarray, low: np.ndarray, width: int):
+    """The pairs of one term's sources, slice by slice."""
     names = ["lang", "source", "item", "both", "change"]
-    ones = pa.array(np.ones(len(change), np.int64))
-    for x, y in ((left, right), (right, left)):
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(change)), pa.array(x), pa.array(y), ones, pa.array(change)], names)
+    for i in range(0, len(p), width):
+        for j in range(0, len(p), width):
+            a, b = slice(i, i + width), slice(j, j + width)
+            x, y = np.repeat(np.array(sources[a], object), len(sources[b])), np.tile(np.array(sources[b], object), len(sources[a]))
+            other = x != y
+            change = _change(p[a], low[a], p[b], low[b]).ravel()[other]
+            ones = pa.array(np.ones(len(change), np.int64))
+            columns = [pa.array([lang] * len(change), pa.string()), pa.array(x[other], pa.string()), pa.array(y[other], pa.string()), ones, pa.array(change)]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def audit(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, block: int = BLOCK) -> DataFrame:

@@ -8,9 +8,11 @@ calibrated so that at most ``FALSE_BLOCKS`` of the accepted urls kept for calibr
 
 Rejected urls are those that a rule blocks and those without a rule whose host has a marker word;
 accepted ones are all others but those that a rule allows in spite of a marker. Since a url is thus
-among those it is compared with, n-grams of two or more characters that a model met once are left out. N-grams are counted over all of them but the calibration share; the models keep the
-``max_grams`` most frequent n-grams (rarest ties left out), which bounds what is broadcast. The threshold is a quantile over
-all calibration urls.
+among those it is compared with, n-grams of two or more characters that a model met once are left out.
+N-grams are counted over all of them but the calibration share, and both models stay tables: nothing of them is
+broadcast or brought to the driver, however many n-grams there are. A character and its longest context are
+a window; the score of every window that occurs is made level by level, each n-gram from the one a character shorter,
+and urls are joined to the scores of their windows. The threshold is a quantile over all calibration urls.
 
 Defined results: a url that is null or has no ``://`` has empty host and path and is judged by the
 models as an empty text, whose score is 0: it is allowed; equal urls get equal verdicts; without
@@ -28,12 +30,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from ..session import materialise
 
 ORDER = 6
-MAX_GRAMS = 100_000
+CLASSES = ("accepted", "rejected")
+RESULTS = ["host", "path", "rule", "score", "verdict"]
 FALSE_BLOCKS = 0.01
 CALIBRATION = 5  # one labelled url in so many
 ALPHABET = 256.0
@@ -100,6 +102,8 @@ def count_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
 
 @dataclass(frozen=True)
 class Markov:
+    """One model in memory, for a small set of urls; the tables of ``window_scores`` give the same values."""
+
     order: int
     seen: dict[str, float]  # gram -> log probability of its last character after the others
     handed: dict[str, float]  # context -> log of the weight handed to the shorter context
@@ -135,33 +139,6 @@ class Markov:
         return total
 
 
-@dataclass(frozen=True)
-class Ratio:
-    accepted: Markov
-    rejected: Markov
-    threshold: float = 0.0
-
-    def score(self, text: str) -> float:
-        if not text:
-            return 0.0
-        return (self.accepted.log_likelihood(text) - self.rejected.log_likelihood(text)) / (len(text) + 1)
-
-
-def with_score(pages: DataFrame, model: Ratio, text: str, name: str = "score") -> DataFrame:
-    """``pages`` with the ratio's score of a text column."""
-    source = pages.drop(name)
-    schema = StructType(source.schema.fields[:]).add(name, "double")
-    shared = source.sparkSession.sparkContext.broadcast(model)
-
-    def run(batches):
-        score = shared.value.score
-        for batch in batches:
-            known = pa.array([score(t or "") for t in batch[text].to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, known], [*batch.schema.names, name])
-
-    return source.mapInArrow(run, schema)
-
-
 def labelled_urls(ruled: DataFrame, markers: list[str], url: str) -> DataFrame:
     """(text, rejected, held): urls that are accepted or rejected, once each."""
     marked = F.col("host").rlike("(?:^|[.-])(?:" + "|".join(markers) + ")(?:[.-]|$)") if markers else F.lit(False)
@@ -171,37 +148,101 @@ def labelled_urls(ruled: DataFrame, markers: list[str], url: str) -> DataFrame:
     return rows.withColumn("held", F.pmod(F.xxhash64("text"), F.lit(CALIBRATION)) == 0)
 
 
-def most_frequent(grams: DataFrame, max_grams: int) -> DataFrame:
-    """The rows with the largest n, about ``max_grams`` at most: those above a quantile of n, so that no
-    task or driver holds more than these."""
-    known = grams.count()
-    if known <= max_grams:
-        return grams
-    cut = grams.agg(F.percentile_approx("n", 1 - max_grams / known, 10_000)).first()[0]
-    return grams.where(F.col("n") > cut)
-
-
-def train(ruled: DataFrame, markers: list[str] = MARKERS, url: str = "url", order: int = ORDER, max_grams: int = MAX_GRAMS) -> Ratio | None:
-    labelled = labelled_urls(ruled, markers, url)
-    grams = count_grams(labelled.where(~F.col("held")), order).withColumn("n", F.col("accepted") + F.col("rejected"))
-    top = most_frequent(materialise(grams), max_grams).toPandas()
-    both = [{g: int(n) for g, n in zip(top["gram"], top[c]) if n > (len(g) > 1)} for c in ("accepted", "rejected")]
-    if not all(both):
-        return None
-    model = Ratio(*(Markov.of(counts, order) for counts in both))
-    held = with_score(labelled.where(F.col("held") & ~F.col("rejected")), model, "text")
+def known_grams(labelled: DataFrame, order: int = ORDER) -> DataFrame:
+    """``count_grams`` of what the models learn from; a count of 0 is an n-gram that a model does not know."""
+    counts = count_grams(labelled.where(~F.col("held")), order)
+    kept = [F.when(F.col(c) > (F.char_length("gram") > 1).cast("int"), F.col(c)).otherwise(0).alias(c) for c in CLASSES]
+    return counts.select("gram", *kept).where(" or ".join(f"{c} > 0" for c in CLASSES))
+
+
+def contexts(grams: DataFrame) -> DataFrame:
+    """(context, accepted_total, accepted_next, rejected_total, rejected_next): occurrences and distinct followers."""
+    context = F.expr("left(gram, char_length(gram) - 1)").alias("context")
+    sums = [x for c in CLASSES for x in (F.sum(c).alias(f"{c}_total"), F.count_if(F.col(c) > 0).alias(f"{c}_next"))]
+    return grams.groupBy(context).agg(*sums)
+
+
+def windows(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(id, window, n): the characters of each text (id, text) with their longest contexts, counted."""
+
+    def run(batches):
+        for batch in batches:
+            ids, found, counts = [], [], []
+            for i, text in zip(batch["id"].to_pylist(), batch["text"].to_pylist()):
+                padded = START * (order - 1) + text + START
+                own = Counter(padded[k : k + order] for k in range(len(text) + 1))
+                ids += [i] * len(own)
+                found += own.keys()
+                counts += own.values()
+                if len(ids) >= 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string()), pa.array(counts, pa.int64())], ["id", "window", "n"])
+                    ids, found, counts = [], [], []
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(found, pa.string()), pa.array(counts, pa.int64())], ["id", "window", "n"])
+
+    return texts.select("id", "text").mapInArrow(run, "id long, window string, n long")
+
+
+def window_scores(occurring: DataFrame, grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """(window, score) of distinct windows: the log-probability of the last character under the accepted model, less
+    that under the rejected one."""
+    suffixes = F.transform(F.sequence(F.lit(1), F.lit(order)), lambda n: F.right("window", n))
+    needed = occurring.select(F.explode(suffixes).alias("gram")).distinct()
+    context = F.expr("left(gram, char_length(gram) - 1)")
+    stats = materialise(
+        needed.join(grams, "gram", "left").withColumn("context", context).join(contexts(grams), "context", "left").drop("context")
+    )
+    level = None
+    for n in range(1, order + 1):
+        own = stats.where(F.char_length("gram") == n)
+        if level is None:
+            own = own.select("*", *[F.lit(1 / ALPHABET).alias(f"{c}_shorter") for c in CLASSES])
+        else:  # a suffix has few n-grams that are a character longer, so no key is hot
+            shorter = level.select(F.col("gram").alias("suffix"), *[F.col(f"{c}_p").alias(f"{c}_shorter") for c in CLASSES])
+            own = own.withColumn("suffix", F.expr("right(gram, char_length(gram) - 1)")).join(shorter, "suffix")
+        level = own.select("gram", *[_smoothed(c).alias(f"{c}_p") for c in CLASSES])
+    return level.select(F.col("gram").alias("window"), (F.ln("accepted_p") - F.ln("rejected_p")).alias("score"))
+
+
+def _smoothed(c: str) -> Column:
+    """Witten-Bell: the shorter n-gram's probability has the weight of the context's distinct followers; an unknown
+    context hands on all of it."""
+    total, following, shorter = F.col(f"{c}_total"), F.col(f"{c}_next"), F.col(f"{c}_shorter")
+    return F.when(total > 0, (F.coalesce(c, F.lit(0)) + following * shorter) / (total + following)).otherwise(shorter)
+
+
+def scores(texts: DataFrame, grams: DataFrame, order: int = ORDER) -> DataFrame:
+    """(id, score) of ``texts`` (id, text), not empty: the ratio per character."""
+    found = materialise(windows(texts, order))
+    known = materialise(window_scores(found.select("window").distinct(), grams, order))
+    return found.join(known, "window").groupBy("id").agg((F.sum(F.col("n") * F.col("score")) / F.sum("n")).alias("score"))
+
+
+def threshold(held: DataFrame) -> float:
+    """Below it lie FALSE_BLOCKS of the accepted urls of the calibration share (score)."""
     low = held.agg(F.percentile_approx("score", FALSE_BLOCKS, 10_000)).first()[0]
-    return Ratio(model.accepted, model.rejected, min(0.0, low) if low is not None and np.isfinite(low) else 0.0)
+    return min(0.0, low) if low is not None and np.isfinite(low) else 0.0
 
 
-def judge(pages: DataFrame, rules: dict[str, str] = RULES, markers: list[str] = MARKERS, url: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules: dict[str, str] = RULES, markers: list[str] = MARKERS, url: str = "url", order: int = ORDER) -> DataFrame:
     """``pages`` with host, path, rule, score and verdict: the rule's, else block below the threshold."""
-    ruled = with_rules(pages.drop("score", "verdict"), rules, url)
-    model = train(ruled, markers, url)
-    if model is None:
-        scored, threshold = ruled.withColumn("score", F.lit(0.0)), 0.0
+    names = [c for c in pages.columns if c not in RESULTS]
+    own = [c if c == url else f"c{i}" for i, c in enumerate(names)]  # so that no name clashes with one made here
+    ruled = with_rules(pages.select(*names).toDF(*own), rules, url)
+    labelled = materialise(labelled_urls(ruled, markers, url))
+    grams = materialise(known_grams(labelled, order))
+    met = grams.agg(*[F.max(F.col(c)).alias(c) for c in CLASSES]).first()
+    if not all(met):
+        scored, low = ruled.withColumn("score", F.lit(0.0)), 0.0
     else:
-        threshold = model.threshold
-        scored = with_score(ruled.withColumn("_read", model_text(F.col(url).cast("string"))), model, "_read").drop("_read")
-    by_score = F.when(F.col("score") < threshold, "block").otherwise("allow")
-    return scored.withColumn("verdict", F.coalesce("ruled", by_score)).drop("ruled")
+        read = model_text(F.col(url).cast("string"))
+        texts = materialise(ruled.select(read.alias("text")).where(read != "").distinct().withColumn("id", F.monotonically_increasing_id()))
+        judged = materialise(texts.join(scores(texts, grams, order), "id").select("text", "score"))
+        low = threshold(judged.join(labelled.where("held and not rejected").select("text"), "text"))
+        to_text = judged.select(F.col("text").alias("_read"), F.col("score").alias("_score"))
+        scored = (
+            ruled.withColumn("_read", read).join(to_text, "_read", "left")
+            .select(*ruled.columns, F.coalesce("_score", F.lit(0.0)).alias("score"))
+        )
+    by_score = F.when(F.col("score") < low, "block").otherwise("allow")
+    judged = scored.withColumn("verdict", F.coalesce("ruled", by_score))
+    return judged.select(*own, *RESULTS).toDF(*names, *RESULTS)

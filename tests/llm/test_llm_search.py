@@ -247,3 +247,52 @@ def test_run_packs_what_the_stages_leave(spark):
 def test_rejected_languages_are_unknown_or_unclear(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     assert langid.identify(docs).where("ambiguous").count() == 0
+
+
+def plain_verdicts(pages):
+    """Verdicts and scores of urls without rules, by models in memory."""
+    texts = {u.partition("://")[2].lower() for _, u in pages}
+    marked = {t for t in texts if any(m in t.split("/")[0].replace("-", ".").split(".") for m in urlfilter.MARKERS)}
+    return texts, marked
+
+
+def test_scores_are_those_of_models_in_memory(spark):
+    rng = random.Random(5)
+    hosts = ["garden", "museum", "library", "casino", "poker", "überall"]
+    rows = [(i, f"https://{rng.choice(hosts)}.{rng.choice(['com', 'org'])}/{rng.choice('abcd')}{rng.randrange(60)}") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("_read", F.lit(1)).withColumn("_score", F.lit(2))
+    judged = urlfilter.judge(pages, rules={})
+    assert judged.columns == [*pages.columns, "host", "path", "rule", "score", "verdict"]
+    got = {r.url: (r.score, r.verdict) for r in judged.collect()}
+    texts, marked = plain_verdicts(rows)
+    labelled = urlfilter.labelled_urls(urlfilter.with_rules(pages, {}), urlfilter.MARKERS, "url").collect()
+    assert {r.text for r in labelled} == texts and {r.text for r in labelled if r.rejected} == marked
+    models = []
+    for rejected in (False, True):
+        counts = {}
+        for r in labelled:
+            if r.rejected == rejected and not r.held:
+                padded = urlfilter.START * 5 + r.text + urlfilter.START
+                for n in range(1, 7):
+                    for i in range(5, len(padded)):
+                        gram = padded[i - n + 1 : i + 1]
+                        counts[gram] = counts.get(gram, 0) + 1
+        models.append(urlfilter.Markov.of({g: n for g, n in counts.items() if n > (len(g) > 1)}, 6))
+    score = {t: (models[0].log_likelihood(t) - models[1].log_likelihood(t)) / (len(t) + 1) for t in texts}
+    held = sorted(score[r.text] for r in labelled if r.held and not r.rejected)
+    low = min(0.0, held[max(0, int(np.ceil(0.01 * len(held))) - 1)])
+    for url, (s, verdict) in got.items():
+        want = score[url.partition("://")[2].lower()]
+        assert s == pytest.approx(want) and verdict == ("block" if s < low else "allow")
+
+
+def test_no_number_of_other_ngrams_changes_a_model(spark):
+    """The counts of n-grams do not depend on how many others there are."""
+    rng = random.Random(6)
+    few = [(f"casino{i % 9}.com/{i % 30}", True) for i in range(60)] + [(f"garden{i % 9}.com/{i % 30}", False) for i in range(60)]
+    many = [("".join(rng.choice("абвгдежзиклмнопрст") for _ in range(40)), False) for _ in range(4000)]
+    kind = "text string, rejected boolean, held boolean"
+    before = urlfilter.known_grams(spark.createDataFrame([(*r, False) for r in few], kind), 4).where("rejected > 0")
+    after = urlfilter.known_grams(spark.createDataFrame([(*r, False) for r in few + many], kind), 4)
+    assert after.count() > 20_000
+    assert before.select("gram", "rejected").exceptAll(after.select("gram", "rejected")).count() == 0

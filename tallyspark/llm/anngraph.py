@@ -12,7 +12,8 @@ double precision.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, neither do those whose length is not the most frequent one; ties go to the smaller id; a query
-never finds rows of its own id; repeated rows are each found; fewer candidates give fewer rows; an
+never finds rows of its own id; repeated rows are each found, and rows that share a query's id are queries with a list
+of their own each; fewer candidates give fewer rows; an
 empty table gives none; further columns are ignored.
 """
 
@@ -187,32 +188,33 @@ def search(graph: DataFrame, queries: DataFrame, k: int, beam: int = SEARCH_BEAM
 
     def run(points: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         if not len(points) or not len(wanted):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_row": [], "query_id": [], "vec_id": [], "score": []})
         points = points.sort_values("place")
         (ids, vectors), (query_ids, asked_for) = _nearest(points), _nearest(wanted)
         edges, units = np.stack(points["edges"].to_numpy()).astype(np.int64), unit(vectors)
-        return pd.concat(_answers(ids, vectors, units, edges, query_ids, asked_for, k, beam), ignore_index=True)
+        own = wanted["_row"].to_numpy()
+        return pd.concat(_answers(ids, vectors, units, edges, own, query_ids, asked_for, k, beam), ignore_index=True)
 
     kind = dict(queries.dtypes)["vec_id"]
     found = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(
-        run, f"query_id {kind}, vec_id {kind}, score double"
+        run, f"query_row long, query_id {kind}, vec_id {kind}, score double"
     )
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _answers(ids, vectors, units, edges, query_ids, asked_for, k: int, beam: int) -> Iterator[pd.DataFrame]:
+def _answers(ids, vectors, units, edges, query_rows, query_ids, asked_for, k: int, beam: int) -> Iterator[pd.DataFrame]:
     for at in range(0, len(query_ids), BLOCK):
-        own, wanted = query_ids[at : at + BLOCK], asked_for[at : at + BLOCK]
+        own, wanted = zip(query_rows[at : at + BLOCK], query_ids[at : at + BLOCK]), asked_for[at : at + BLOCK]
         found, _ = beam_search(units, edges, entries(len(units)), unit(wanted), beam)
-        for query, x, rows in zip(own, wanted, found):
+        for (query_row, query), x, rows in zip(own, wanted, found):
             rows = rows[rows >= 0]
             rows = rows[ids[rows] != query]
             near = vectors[rows]
             score = (near @ x) / (np.sqrt((near * near).sum(1)) * np.sqrt((x * x).sum()))
             best = np.lexsort((ids[rows], -score))[:k]
-            yield pd.DataFrame({"query_id": query, "vec_id": ids[rows[best]], "score": score[best]})
+            yield pd.DataFrame({"query_row": query_row, "query_id": query, "vec_id": ids[rows[best]], "score": score[best]})
 
 
 def neighbours(

@@ -11,6 +11,8 @@ import xxhash
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from test_llm_near_dedup import smallest_of_groups
+
 from tallyspark.llm import anngraph, langid, packing, queries, secrets, simhash, urlfilter
 from tallyspark.llm.components import connected
 
@@ -204,6 +206,13 @@ def test_odd_vectors(spark):
     assert anngraph.neighbours(frame.limit(0), F.col("vec_id") == 0, 5).count() == 0
 
 
+def test_rows_with_one_query_id_have_a_list_each(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), *((i, [1.0, i / 10]) for i in range(1, 9))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = anngraph.neighbours(frame, F.col("vec_id") == 0, 5).collect()
+    assert sorted((r.rank, r.vec_id) for r in got) == sorted([(i, i) for i in range(1, 6)] + [(i, 9 - i) for i in range(1, 6)])
+
+
 def test_pruned_neighbours_are_diverse():
     points = anngraph.unit(np.array([[1, 0], [1, 0.1], [1, 0.11], [1, -0.3], [0, 1]], float))
     kept = anngraph.robust_prune(points, np.array([0]), np.array([[1, 2, 3, 4, 0, 1, -1]]), 4, 1.2)[0]
@@ -226,8 +235,7 @@ def test_stages_keep_clean_documents(spark):
     assert lines.columns == docs.columns and lines.count() == docs.count()
     assert lines.where(F.col("n_chars") != F.char_length("text")).count() == 0
     single = stages["near_dedup"](spark, docs, MIDDLE)
-    ids = {r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert {r.doc_id for r in single.collect()} == ids
+    assert {r.doc_id for r in single.collect()} == smallest_of_groups({r.doc_id: r.text for r in docs.collect()})
     masked = stages["secret_scan"](spark, docs, MIDDLE)
     found = secrets.findings(docs, secrets.train(docs)).where("is_secret").select("doc_id").distinct().count()
     assert masked.where(F.contains("text", F.lit(secrets.MASK))).count() == found > 0

@@ -163,7 +163,7 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, references
         rest = None
         for frame in frames:
             frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            starts = _starts(frame, groups)
+            starts = group_starts(frame, groups)
             rest = frame.iloc[starts[-1] :] if len(starts) else frame
             yield from _frame_links(frame, starts, extra, radius)
         if rest is not None and len(rest):
@@ -172,7 +172,7 @@ def links(fps: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, references
     return sorted_groups.mapInPandas(run, "a long, b long")
 
 
-def _starts(frame: pd.DataFrame, groups: list[str]) -> np.ndarray:
+def group_starts(frame: pd.DataFrame, groups: list[str]) -> np.ndarray:
     if not len(frame):
         return np.zeros(0, np.int64)
     values = frame[groups].to_numpy(np.int64)
@@ -212,18 +212,21 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS,
     return prints.join(component, "fp").select("doc_id", "fp", "component_id")
 
 
+def named_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns but doc_id and text numbered, so that no name clashes with one made here."""
+    return docs.toDF(*[n if n in ("doc_id", "text") else f"c{i}" for i, n in enumerate(docs.columns)])
+
+
 def keep_first(docs: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, shingle: int = 3, tile: int = TILE) -> DataFrame:
     """One row of ``docs`` per component: that with the smallest doc_id, nulls last; of repeated rows, one."""
-    names = docs.columns
-    stored = materialise(
-        with_fingerprint(docs, shingle, "_fp").withColumn("_row", F.monotonically_increasing_id())
-    )
-    prints = stored.select("doc_id", F.col("_fp").alias("fp"), "_row")
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
+    own = named_apart(docs)
+    stored = materialise(with_fingerprint(own, shingle).withColumn("row", F.monotonically_increasing_id()))
+    prints = stored.select("doc_id", "fp", "row")
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), "row")
     first = prints.groupBy("fp").agg(F.min(order).alias("first"))
     roots = fingerprint_roots(prints, radius, blocks, tile)
-    kept = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return stored.join(kept, "_row", "left_semi").select(*names)
+    kept = first.join(roots, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.row")
+    return stored.join(kept, "row", "left_semi").select(*own.columns).toDF(*docs.columns)
 
 
 def hex_digits(fp) -> "F.Column":

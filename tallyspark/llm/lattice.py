@@ -159,21 +159,27 @@ def word_ids(words: DataFrame, pieces: Pieces, path=merges) -> DataFrame:
     return chosen.select("word", F.flatten(F.transform(in_path, ids)).alias("ids"))
 
 
-def placed_words(texts: DataFrame) -> DataFrame:
+def placed_words(texts: DataFrame, at_once: int = 100_000) -> DataFrame:
     """(_row, word, places) of ``texts`` (_row, words): a row per distinct word of a text."""
 
+    def put_out(rows: list, words: list, places: list) -> pa.RecordBatch:
+        columns = [pa.array(rows, pa.int64()), pa.array(words, pa.string()), pa.array(places, pa.list_(pa.int32()))]
+        return pa.RecordBatch.from_arrays(columns, ["_row", "word", "places"])
+
     def run(batches):
+        rows, words, places = [], [], []
         for batch in batches:
-            rows, words, places = [], [], []
-            for row, found in zip(batch["_row"].to_pylist(), batch["words"].to_pylist()):
+            for i in range(batch.num_rows):  # one text in Python at a time
                 own: dict[str, list[int]] = {}
-                for i, word in enumerate(found):
-                    own.setdefault(word, []).append(i)
-                rows += [row] * len(own)
+                for k, word in enumerate(batch["words"][i].as_py()):
+                    own.setdefault(word, []).append(k)
+                rows += [batch["_row"][i].as_py()] * len(own)
                 words += own.keys()
                 places += own.values()
-            columns = [pa.array(rows, pa.int64()), pa.array(words, pa.string()), pa.array(places, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "word", "places"])
+                if len(rows) >= at_once:
+                    yield put_out(rows, words, places)
+                    rows, words, places = [], [], []
+        yield put_out(rows, words, places)
 
     return texts.select("_row", "words").mapInArrow(run, "_row long, word string, places array<int>")
 
@@ -182,8 +188,10 @@ def encode(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "id
     """``texts`` with the ids of ``text``."""
     source = materialise(texts.drop(name).withColumn("_row", F.monotonically_increasing_id()))
     found = F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.word_pattern()), F.lit(0))
-    occurring = placed_words(source.where(F.col(text).isNotNull()).select("_row", found.alias("words")))
-    known = materialise(word_ids(occurring.select("word").distinct(), pieces, path))
+    cut = source.where(F.col(text).isNotNull()).select("_row", found.alias("words"))
+    occurring = placed_words(cut)
+    distinct = materialise(cut.select(F.explode("words").alias("word")).distinct())
+    known = materialise(word_ids(distinct, pieces, path))
     joined = (
         occurring.join(known, "word").groupBy("_row").agg(F.collect_list(F.struct("places", "ids")).alias("_parts"))  # one text's words
     )

@@ -1,8 +1,7 @@
 """Graph operators on vertices(id, …) and edges(src, dst, attr).
 
-Messages are reduced per task before they are shuffled. A hub with a large share of the edges
-makes one join partition large; adaptive execution splits it, so edges are never stored
-partitioned by an endpoint.
+Messages are reduced per task before they are shuffled. Loops store the edges once in buckets of their source,
+those of a hub with a large share of them apart, so that a round moves messages and no edges.
 """
 
 from __future__ import annotations
@@ -11,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialise, remove
+from .bucketed import Deltas, KeyedRows
 from .sizes import skew_join
 
 
-
 def endpoints(edges: DataFrame) -> DataFrame:
     return edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
 
@@ -156,38 +155,36 @@ def counts(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     return n_vertices.unionByName(n_edges)
 
 
+def path_offers(edges: KeyedRows, senders: DataFrame) -> DataFrame:
+    """(id, dist): the shortest way over one more edge from ``senders`` (id, dist)."""
+    return edges.joined(senders, "id").groupBy(F.col("dst").alias("id")).agg(F.min(F.col("dist") + F.col("attr")).alias("dist"))
+
+
 def shortest_paths(vertices: DataFrame, edges: DataFrame, source: int) -> DataFrame:
     """(id, dist) from ``source`` along weighted edges; unreachable vertices get infinity.
 
-    Only vertices improved in the last round send messages. Each round's distances are stored,
-    and the loop ends when no distance improves, which it must as weights below 0 are refused.
+    Only vertices improved in the last round send messages, and a round stores only what it improved. The
+    edges lie in buckets of their source and stay there. The loop ends when no distance improves, which it must as
+    weights below 0 are refused.
     """
-    edges = materialise(edges.select("src", "dst", F.col("attr").cast("double").alias("attr")))
-    if (edges.agg(F.min("attr")).first()[0] or 0.0) < 0:
+    ids = vertices.select("id")
+    inside = edges.select("src", "dst", F.col("attr").cast("double").alias("attr")).join(ids.withColumnRenamed("id", "dst"), "dst", "left_semi")
+    stored = KeyedRows(inside, "src")
+    if (stored.aggregated(F.min("attr")).first()[0] or 0.0) < 0:
         raise ValueError("weights must not be negative")
-    start = F.when(F.col("id") == source, F.lit(0.0)).otherwise(F.lit(float("inf")))
-    state = materialise(
-        vertices.select("id", start.alias("dist"), (F.col("id") == source).alias("improved"))
-    )
-    while True:
-        senders = state.where("improved").select(F.col("id").alias("src"), "dist")
-        offers = (
-            senders.join(edges, "src")
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.min(F.col("dist") + F.col("attr")).alias("offer"))
-        )
-        better = F.coalesce(F.col("offer") < F.col("dist"), F.lit(False))
-        state = materialise(
-            state.join(offers, "id", "left").select(
-                "id",
-                F.when(better, F.col("offer")).otherwise(F.col("dist")).alias("dist"),
-                better.alias("improved"),
-            ),
-            instead_of=state,
-        )
-        if state.where("improved").isEmpty():
-            remove(edges.sparkSession, edges.stored_at)
-            return state.select("id", "dist")
+    reached = Deltas("id", "dist", F.min)
+    news = materialise(ids.where(F.col("id") == source).select("id", F.lit(0.0).alias("dist")))
+    while not news.isEmpty():
+        reached.add(news)
+        known = reached.state().withColumnRenamed("dist", "known")
+        offers = path_offers(stored, news).join(known, "id", "left")
+        news = materialise(offers.where(F.col("known").isNull() | (F.col("dist") < F.col("known"))).select("id", "dist"))
+    stored.release()
+    if not reached.parts:
+        return ids.select("id", F.lit(float("inf")).alias("dist"))
+    found = materialise(ids.join(reached.state(), "id", "left").select("id", F.coalesce("dist", F.lit(float("inf"))).alias("dist")))
+    reached.release()
+    return found
 
 
 RESET = 0.15
@@ -198,31 +195,44 @@ def _rank_links(edges: DataFrame) -> DataFrame:
     return skew_join(edges.select("src", "dst"), out, "src", counts=out).select("src", "dst", (F.lit(1.0) / F.col("n")).alias("share"))
 
 
-def _next_ranks(ranks: DataFrame, links: DataFrame) -> DataFrame:
-    """One round: each vertex adds a zero to its own sum, so no vertex drops out."""
-    sent = links.join(ranks.withColumnRenamed("id", "src"), "src").select(
-        F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part")
-    )
-    own = ranks.select("id", F.lit(0.0).alias("part"))
-    return (
-        sent.unionByName(own)
-        .groupBy("id")
-        .agg((F.lit(RESET) + F.lit(1.0 - RESET) * F.sum("part")).alias("rank"))
-    )
+def rank_messages(links: KeyedRows, changes: DataFrame) -> DataFrame:
+    """(id, rank): what the ``changes`` (id, rank) of the last round change in this one."""
+    sent = links.joined(changes, "id").select(F.col("dst").alias("id"), (F.col("rank") * F.col("share")).alias("part"))
+    return sent.groupBy("id").agg((F.lit(1.0 - RESET) * F.sum("part")).alias("rank"))
+
+
+def _ranked(edges: DataFrame, rounds: int | None, tolerance: float | None) -> DataFrame:
+    """Ranks start from 1. A round is linear in the ranks, so its change follows from the change before, and a
+    vertex whose rank did not change sends nothing. Links lie in buckets of their source and stay there."""
+    plain = materialise(_rank_links(edges))
+    ids = materialise(endpoints(plain))
+    links = KeyedRows(plain, "src")
+    remove(plain.sparkSession, plain.stored_at)
+    ranks = Deltas("id", "rank", F.sum)
+    ranks.add(materialise(ids.select("id", F.lit(1.0).alias("rank"))))
+    done = 0
+    while rounds is None or done < rounds:
+        if done == 0:  # all ranks change from 1 to the reset and what is received
+            received = rank_messages(links, ranks.parts[0]).withColumnRenamed("rank", "received")
+            change = ids.join(received, "id", "left").select("id", (F.coalesce("received", F.lit(0.0)) + F.lit(RESET - 1.0)).alias("rank"))
+        else:
+            change = rank_messages(links, change)
+        change = materialise(change.where("rank <> 0"))
+        done += 1
+        most = change.agg(F.max(F.abs("rank"))).first()[0]
+        ranks.add(change)
+        if most is None or tolerance is not None and most <= tolerance:
+            break
+    links.release()
+    found = materialise(ranks.state())
+    ranks.release()
+    remove(ids.sparkSession, ids.stored_at)
+    return found
 
 
 def page_rank_fixed(edges: DataFrame, rounds: int) -> DataFrame:
-    """Un-normalised ranks after a fixed number of rounds, starting from 1.
-
-    The ranks are stored each round: the plan stays short, and the next join reads plain
-    shuffles on both sides, which adaptive execution can split at a hub.
-    """
-    links = materialise(_rank_links(edges))
-    ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
-    for _ in range(rounds):
-        ranks = materialise(_next_ranks(ranks, links), instead_of=ranks)
-    remove(links.sparkSession, links.stored_at)
-    return ranks
+    """Un-normalised ranks after a fixed number of rounds, starting from 1."""
+    return _ranked(edges, rounds, None)
 
 
 def page_rank(edges: DataFrame, tolerance: float = 0.01) -> DataFrame:
@@ -230,19 +240,7 @@ def page_rank(edges: DataFrame, tolerance: float = 0.01) -> DataFrame:
 
     A round shrinks the total movement by the factor 0.85, so the loop ends.
     """
-    links = materialise(_rank_links(edges))
-    ranks = materialise(endpoints(links).withColumn("rank", F.lit(1.0)))
-    while True:
-        newer = materialise(_next_ranks(ranks, links))
-        moved = newer.join(ranks.withColumnRenamed("rank", "old"), "id").where(
-            F.abs(F.col("rank") - F.col("old")) > tolerance
-        )
-        settled = moved.isEmpty()
-        remove(ranks.sparkSession, ranks.stored_at)
-        ranks = newer
-        if settled:
-            remove(links.sparkSession, links.stored_at)
-            return ranks
+    return _ranked(edges, None, tolerance)
 
 
 def canonical(edges: DataFrame) -> DataFrame:
@@ -254,12 +252,18 @@ def canonical(edges: DataFrame) -> DataFrame:
     )
 
 
+def wedges(directed: KeyedRows) -> DataFrame:
+    """(a, b, c): two edges a -> b and a -> c of ``directed`` (a, b, db), b before c in the order of degrees."""
+    other = directed.cold.select("a", F.col("b").alias("c"), F.col("db").alias("dc"))
+    return directed.cold.join(other, "a").where(F.struct("db", "b") < F.struct("dc", "c")).select("a", "b", "c")
+
+
 def triangles(edges: DataFrame) -> DataFrame:
     """Each triangle once, as (a, b, c).
 
-    Edges point from the end with fewer neighbours to the other, so no vertex has more than
-    sqrt(2 * edges) outgoing ones and the neighbour lists stay that short. A triangle is an
-    edge whose two ends share an outgoing neighbour.
+    Edges point from the end with fewer neighbours to the other, so no vertex has more than sqrt(2 * edges)
+    outgoing ones. Two of them are a wedge, a row of its own, and those whose ends are joined by an edge stay. Edges
+    lie in buckets of their first end, so wedges are made where they lie.
     """
     flat = materialise(canonical(edges))  # degrees and both joins read it
     degree = degrees(flat).select("id", "degree")
@@ -268,20 +272,20 @@ def triangles(edges: DataFrame) -> DataFrame:
     ranked = skew_join(flat, of_src, "src", counts=of_src.withColumnRenamed("ds", "n"))
     ranked = skew_join(ranked, of_dst, "dst", counts=of_dst.withColumnRenamed("dd", "n"))
     forward = F.struct("ds", "src") < F.struct("dd", "dst")
-    directed = materialise(
+    directed = KeyedRows(
         ranked.select(
             F.when(forward, F.col("src")).otherwise(F.col("dst")).alias("a"),
             F.when(forward, F.col("dst")).otherwise(F.col("src")).alias("b"),
-        )
-    )
-    lists = directed.groupBy("a").agg(F.collect_list("b").alias("out"))
-    of_b = lists.select(F.col("a").alias("b"), F.col("out").alias("out_b"))
-    shared = F.array_intersect("out", "out_b")
-    return (
-        skew_join(directed, of_b, "b")
-        .join(lists, "a")
-        .select("a", "b", F.explode(shared).alias("c"))
+            F.when(forward, F.col("dd")).otherwise(F.col("ds")).alias("db"),
+        ),
+        "a",
+        hot_share=float("inf"),  # no vertex is hot in this direction
     )
+    closing = directed.cold.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    found = materialise(wedges(directed).join(closing, ["b", "c"], "left_semi").select("a", "b", "c"))
+    directed.release()
+    remove(flat.sparkSession, flat.stored_at)
+    return found
 
 
 def triangle_count(vertices: DataFrame, edges: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tallyspark.operators import graph as G
+from tallyspark.operators.bucketed import KeyedRows
 
 
 @pytest.fixture(scope="module")
@@ -124,3 +125,88 @@ def test_ranks(spark):
         rank = newer
     got = {r.id: r["rank"] for r in G.page_rank(e, 0.001).collect()}
     assert got == pytest.approx(rank)
+
+
+def _between_scan_and_join(df):
+    """Names of the operators between each scan of a bucketed table and the first join above it."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if "AdaptiveSparkPlan" in plan.nodeName():
+        plan = plan.initialPlan()
+    found = []
+
+    def walk(node, above):
+        name = node.nodeName()
+        if name.startswith("Scan") and "Bucketed: true" in node.simpleString(10_000):
+            found.append(list(above))
+        path = [] if "Join" in name else [*above, name]
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i), path)
+
+    walk(plan, [])
+    return found
+
+
+@pytest.fixture
+def shuffled_joins(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def _hub(spark):
+    """A hub that sends half of all edges, and a ring."""
+    rows = [(0, i, 1.0) for i in range(1, 200)] + [(i, i % 199 + 1, 2.0) for i in range(1, 200)]
+    return spark.createDataFrame(rows, "src long, dst long, attr double")
+
+
+def test_a_round_moves_no_edges(spark, shuffled_joins):
+    stored = KeyedRows(_hub(spark), "src", buckets=3)
+    state = spark.range(200).select("id", F.lit(0.0).alias("dist"), F.lit(1.0).alias("rank"))
+    for part in (G.path_offers(stored, state.select("id", "dist")), G.rank_messages(_links(spark), state.select("id", "rank"))):
+        scans = _between_scan_and_join(part)
+        assert len(scans) == 1 and not any("Exchange" in name for name in scans[0])
+    assert {r.src for r in stored.hot.select("src").distinct().collect()} == {0}
+    assert stored.cold.where("src = 0").count() == 0 and stored.cold.count() + stored.hot.count() == 398
+    stored.release()
+    assert not spark.catalog.tableExists(stored.name)
+
+
+def _links(spark):
+    return KeyedRows(_hub(spark).select("src", "dst", F.lit(0.5).alias("share")), "src", buckets=3)
+
+
+def test_wedges_are_made_where_edges_lie(spark, shuffled_joins):
+    directed = KeyedRows(spark.createDataFrame([(1, 2, 2), (1, 3, 2), (2, 3, 2)], "a long, b long, db long"), "a", buckets=2, hot_share=float("inf"))
+    made = G.wedges(directed)
+    scans = _between_scan_and_join(made)
+    assert len(scans) == 2 and not any("Exchange" in name for names in scans for name in names)
+    assert rows(made) == [(1, 2, 3)] and all(t == "bigint" for _, t in made.dtypes)
+
+
+def test_loops_at_a_hub(spark):
+    edges = _hub(spark)
+    vertices = spark.range(201)
+    dist = {r.id: r.dist for r in G.shortest_paths(vertices, edges, 0).collect()}
+    assert dist == {0: 0.0, 200: math.inf, **{i: 1.0 for i in range(1, 200)}}
+    assert {r.id: r.dist for r in G.shortest_paths(vertices, edges, 777).collect()} == {i: math.inf for i in range(201)}
+    ranks = {r.id: r.rank for r in G.page_rank_fixed(edges, 12).collect()}  # more rounds than are kept apart
+    want = {i: 1.0 for i in range(200)}
+    out = {0: 199, **{i: 1 for i in range(1, 200)}}
+    pairs = [(r.src, r.dst) for r in edges.collect()]
+    for _ in range(12):
+        got = dict.fromkeys(want, 0.15)
+        for s, d in pairs:
+            got[d] += 0.85 * want[s] / out[s]
+        want = got
+    assert ranks == pytest.approx(want)
+
+
+def test_triangles_of_a_random_graph(spark):
+    rng = random.Random(4)
+    pairs = {tuple(rng.sample(range(40), 2)) for _ in range(260)}
+    edges = spark.createDataFrame([*pairs, (3, 3)], "src long, dst long")
+    flat = {tuple(sorted(p)) for p in pairs}
+    want = sorted(t for t in itertools.combinations(range(40), 3) if all(p in flat for p in itertools.combinations(t, 2)))
+    assert sorted(tuple(sorted(r)) for r in G.triangles(edges).collect()) == want

@@ -5,6 +5,7 @@ from . import (  # noqa: F401
     format_queries,
     graph_queries,
     ml_queries,
+    physical_queries,
     random_queries,
     rating_queries,
     season_queries,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
 from ..operators import clicks as C
@@ -158,6 +160,71 @@ def ad_trend_stream(t):
     return C.trend(table.latest())
 
 
+PARTS = 3
+
+
+def _timed_feed(t, own, name: str, closing: bool = False):
+    """A stream over files that hold the events in the order of time, and a function that adds the next file.
+
+    With ``closing``, a last file has one click a month later, which closes all windows before it."""
+    path = scratch_path(t.spark, name)
+    make_folder(t.spark, path)
+    events = t.read("events")
+    ends = events.agg(F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    step = (ends["high"] - ends["low"]) / PARTS
+    borders = [ends["low"] + step * i for i in range(1, PARTS)]
+    part = sum((F.col("ts") >= F.lit(b)).cast("int") for b in borders)
+    files = [events.where(part == i) for i in range(PARTS)]
+    if closing:
+        last = events.orderBy(F.desc("event_id")).limit(1)
+        files.append(last.withColumn("ts", F.lit(ends["high"] + timedelta(days=31))).withColumn("event_type", F.lit("click")))
+
+    def add(i: int) -> None:
+        files[i].write.mode("append").parquet(path)
+
+    stream = C.parse(t.click_text(readers.file_stream(own, path, events.schema, "*.parquet")))
+    return stream, add, len(files)
+
+
+def _run_through(feed, start) -> None:
+    """Goes on from the checkpoint each time a file has come."""
+    stream, add, n = feed
+    for i in range(n):
+        add(i)
+        S.run_to_end(start(stream))
+
+
+@query("ad_trend_chained", TREND)
+def ad_trend_chained(t):
+    own = S.stream_session(t.spark)
+    table = BatchTable(
+        t.spark, scratch_path(t.spark, "trend"), "ad_id bigint, window_end timestamp, n bigint", ["ad_id", "window_end"]
+    )
+    checkpoint = scratch_path(t.spark, "checkpoint")
+    _run_through(_timed_feed(t, own, "timed", closing=True), lambda clicks: S.chained_counts_to(table, clicks, checkpoint, "1 hour"))
+    return C.with_time_parts(table.rows())
+
+
+@query(
+    "ad_threshold_crossings",
+    f"""
+WITH {CLICKS}
+SELECT day, user_id, ad_id, make_timestamp(ts_ms * 1000) AS at, CAST(k AS BIGINT) AS n
+FROM (SELECT *, row_number() OVER (PARTITION BY day, user_id, ad_id ORDER BY ts_ms) AS k FROM clicks) WHERE k = {THRESHOLD + 1}
+""",
+)
+def ad_threshold_crossings(t):
+    """State of one's own, over three files in the order of time."""
+    own = S.stream_session(t.spark)
+    table = BatchTable(
+        t.spark, scratch_path(t.spark, "crossings"), "day date, user_id bigint, ad_id bigint, at timestamp, n bigint",
+        ["day", "user_id", "ad_id"],
+    )
+    checkpoint = scratch_path(t.spark, "checkpoint")
+    _run_through(_timed_feed(t, own, "timed"), lambda clicks: S.crossings_to(table, clicks, checkpoint, THRESHOLD, "1 hour"))
+    return table.rows().select("day", "user_id", "ad_id", F.col("at").cast("timestamp_ntz").alias("at"), "n")
+
+
 BATCHES = 3
 
 
@@ -201,6 +268,6 @@ def ad_click_job(t):
     stream = C.parse(t.click_text(readers.file_stream(own, path, events.schema, "*.parquet")))
     checkpoint = scratch_path(t.spark, "checkpoint")
     for i in range(BATCHES):  # the job goes on from its checkpoint each time a file has come
-        events.where(F.col("event_id") % BATCHES == i).coalesce(1).write.mode("append").parquet(path)
+        events.where(F.col("event_id") % BATCHES == i).write.mode("append").parquet(path)
         S.run_to_end(job.start(stream, checkpoint))
     return tables.top_ads.current()

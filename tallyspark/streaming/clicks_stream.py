@@ -13,7 +13,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import clicks as C
 from ..session import RUNTIME_CONF, scratch_path
-from .sinks import COMPACT_EVERY, BatchTable, KeySet, SliceTable
+from .keyed_state import threshold_crossings
+from .sinks import COMPACT_EVERY, BatchTable, Commits, KeySet, SliceTable
 
 
 # State on local disk with a change log, so that it may outgrow the executors' memory and a
@@ -95,12 +96,26 @@ def sliding_counts_to(
     return start(C.sliding_counts(clicks), table.write, checkpoint, "update", every)
 
 
+def chained_counts_to(table: BatchTable, clicks: DataFrame, checkpoint: str, watermark: str, every: str | None = None) -> StreamingQuery:
+    """Counts of sliding windows from closed minutes, by two stateful aggregations in one stream.
+
+    A window is written once, when the watermark has passed it, and then leaves the state, as its minutes did before.
+    """
+    return start(C.sliding_from_minutes(clicks.withWatermark("ts", watermark)), table.write, checkpoint, "append", every)
+
+
+def crossings_to(table: BatchTable, clicks: DataFrame, checkpoint: str, threshold: int, watermark: str, every: str | None = None) -> StreamingQuery:
+    """The click by which a (day, user, ad) first exceeds the threshold, once each."""
+    return start(threshold_crossings(clicks, threshold, watermark), table.write, checkpoint, "append", every)
+
+
 @dataclass
 class ClickTables:
     """The tables the click job maintains below one folder."""
 
     spark: SparkSession
     path: str
+    commits: Commits = field(init=False)
     user_clicks: BatchTable = field(init=False)
     blacklist: KeySet = field(init=False)
     totals: BatchTable = field(init=False)
@@ -109,18 +124,19 @@ class ClickTables:
 
     def __post_init__(self):
         s, p = self.spark, self.path
+        c = self.commits = Commits(s, p)
         self.user_clicks = BatchTable(
-            s, f"{p}/user_clicks", "day date, user_id bigint, ad_id bigint, n bigint", ["day", "user_id", "ad_id"], "day"
+            s, f"{p}/user_clicks", "day date, user_id bigint, ad_id bigint, n bigint", ["day", "user_id", "ad_id"], "day", c
         )
-        self.blacklist = KeySet(s, f"{p}/blacklist", "user_id bigint")
+        self.blacklist = KeySet(s, f"{p}/blacklist", "user_id bigint", c)
         self.totals = BatchTable(
-            s, f"{p}/totals", "day date, ad_id bigint, province string, city string, n bigint", C.TOTAL_KEYS, "day"
+            s, f"{p}/totals", "day date, ad_id bigint, province string, city string, n bigint", C.TOTAL_KEYS, "day", c
         )
         self.top_ads = SliceTable(
-            s, f"{p}/top_ads", "ad_id bigint, n bigint, rank int, day date, province string", ["day", "province"]
+            s, f"{p}/top_ads", "ad_id bigint, n bigint, rank int, day date, province string", ["day", "province"], "day", c
         )
         self.per_minute = BatchTable(
-            s, f"{p}/per_minute", "day date, ad_id bigint, minute timestamp, n bigint", ["day", "ad_id", "minute"], "day"
+            s, f"{p}/per_minute", "day date, ad_id bigint, minute timestamp, n bigint", ["day", "ad_id", "minute"], "day", c
         )
 
 
@@ -131,6 +147,9 @@ class ClickJob:
     The black list is read again for every batch. Only the days a batch touches are read, and
     folders are folded once a day has ``compact_every`` of them. A click repeated within a batch (same time,
     address, user, ad and place) is not valid and does not count towards the users' totals.
+
+    A batch is marked as complete once all tables hold it. One that failed on the way runs again from the
+    checkpoint, over the same clicks, and writes the same folders; nobody has read what it left.
     """
 
     tables: ClickTables
@@ -150,16 +169,18 @@ class ClickJob:
             valid = C.valid_clicks(C.batch_counts(kept)).withColumn("day", F.to_date(F.timestamp_millis("ts_ms")))
             t.user_clicks.write(C.daily_user_counts(valid), batch_id)
             touched = valid.select("day", "user_id", "ad_id").distinct()
-            history = t.user_clicks.rows(days=days).join(touched, ["day", "user_id", "ad_id"], "left_semi")
+            history = t.user_clicks.rows(days=days, upto=batch_id).join(touched, ["day", "user_id", "ad_id"], "left_semi")
             sums = history.groupBy("day", "user_id", "ad_id").agg(F.sum("n").alias("n"))
             t.blacklist.add(C.blacklisted(sums, self.threshold), batch_id)
 
             t.totals.write(C.running_totals(kept), batch_id)
             slices = kept.select("day", "province").distinct()
-            affected = t.totals.rows(days=days).join(slices, ["day", "province"], "left_semi")
-            t.top_ads.replace(C.province_top(affected, self.top))
+            affected = t.totals.rows(days=days, upto=batch_id).join(slices, ["day", "province"], "left_semi")
+            t.top_ads.replace(C.province_top(affected, self.top), batch_id)
 
             t.per_minute.write(C.minute_counts(kept).withColumn("day", F.to_date("minute")), batch_id)
+            t.commits.mark(batch_id)
+            t.commits.forget(batch_id)
         finally:
             kept.unpersist()
 
@@ -169,6 +190,7 @@ class ClickJob:
         t.user_clicks.compact(upto, days, at_least=self.compact_every)
         t.totals.compact(upto, days, at_least=self.compact_every)
         t.per_minute.compact(upto, days, at_least=self.compact_every)
+        t.top_ads.compact(upto, days, at_least=self.compact_every)
 
     def start(self, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         return start(clicks, self, checkpoint, "append", every)

@@ -19,6 +19,31 @@ from ..session import make_folder, remove, rename, subfolders
 COMPACT_EVERY = 16
 
 
+class Commits:
+    """Markers of the batches that every table of a job holds in full, each written last of all.
+
+    A job that fails between two tables leaves rows of a batch without a marker. Readers pass over them, and the
+    batch, when it runs again, writes them anew.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, f"{path}/_commits"
+        make_folder(spark, self.path)
+
+    def mark(self, batch_id: int) -> None:
+        make_folder(self.spark, f"{self.path}/batch={batch_id}")
+
+    def last(self) -> int:
+        """The last batch with a marker, -1 before the first. Batches are marked one after another."""
+        return max((int(n.partition("=")[2]) for n in subfolders(self.spark, self.path)), default=-1)
+
+    def forget(self, before: int) -> None:
+        """Removes older markers, which the last one stands for."""
+        for name in subfolders(self.spark, self.path):
+            if int(name.partition("=")[2]) < before:
+                remove(self.spark, f"{self.path}/{name}")
+
+
 class BatchTable:
     """Rows of (keys…, values…) collected over batches; ``batch`` numbers them.
 
@@ -26,10 +51,14 @@ class BatchTable:
     reads those alone. ``compact`` folds the batches of a day into one: the merged rows are written
     aside and moved into place in one step, from when on readers pass over the batches they stand for,
     which are then removed. So a day has at most as many folders as batches since it was last folded.
+
+    With ``commits``, readers see the batches up to the last marker; the job that writes a batch names it as ``upto``.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], day: str | None = None):
-        self.spark, self.path, self.keys, self.day = spark, path, list(keys), day
+    def __init__(
+        self, spark: SparkSession, path: str, schema: str, keys: Sequence[str], day: str | None = None, commits: Commits | None = None
+    ):
+        self.spark, self.path, self.keys, self.day, self.commits = spark, path, list(keys), day, commits
         self.schema = T.StructType.fromDDL(schema)
         self.values = [f.name for f in self.schema if f.name not in self.keys]
         make_folder(spark, path)  # an empty table can be read before the first batch
@@ -59,7 +88,7 @@ class BatchTable:
         )
         return (merged[-1] if merged else None), merged, single
 
-    def rows(self, where: Column | None = None, days: Sequence[date] | None = None) -> DataFrame:
+    def rows(self, where: Column | None = None, days: Sequence[date] | None = None, upto: int | None = None) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField("merged", T.IntegerType()), T.StructField("batch", T.LongType())])
         found = {folder: self._batches(folder) for folder in self._days(days)}
         folders = [f for f, (_, merged, single) in found.items() if merged or single]
@@ -75,6 +104,10 @@ class BatchTable:
                 fresh = (fresh & (F.col("batch") > last)) | ((F.col("merged") == 1) & (F.col("batch") == last))
             live = live | (fresh & F.col(self.day).isin(own) if self.day else fresh)
         df = df.where(live).select(*self.schema.names, "batch")
+        if upto is None and self.commits is not None:
+            upto = self.commits.last()
+        if upto is not None:
+            df = df.where(F.col("batch") <= upto)
         return df if where is None else df.where(where)
 
     def _date(self, folder: str) -> date | None:
@@ -92,8 +125,10 @@ class BatchTable:
         newest = [F.max_by(v, "batch").alias(v) for v in self.values]
         return self.rows(where, days).groupBy(*self.keys).agg(*newest)
 
-    def compact(self, upto: int, days: Sequence[date] | None = None, increments: bool = True, at_least: int = COMPACT_EVERY) -> None:
-        """Folds the batches up to ``upto``, which must be complete, where a day has ``at_least`` of them."""
+    def compact(self, upto: int, days: Sequence[date] | None = None, increments: bool = True, at_least: int = COMPACT_EVERY, state=None) -> None:
+        """Folds the batches up to ``upto``, which must be complete, where a day has ``at_least`` of them.
+
+        ``state`` makes the folded rows of the table's rows; by default they are sums or latest values by key."""
         due = {}
         for folder in self._days(days):
             _, merged, single = self._batches(folder)
@@ -104,7 +139,10 @@ class BatchTable:
             return
         chosen = [self._date(f) for f in due] if self.day else None
         until = F.col("batch") <= upto
-        state = self.sums(until, chosen) if increments else self.latest(until, chosen)
+        if state is not None:
+            state = state(self.rows(until, chosen))
+        else:
+            state = self.sums(until, chosen) if increments else self.latest(until, chosen)
         aside = f"{self.path}/_aside-{uuid.uuid4().hex}"
         state = state.hint("rebalance", self.day) if self.day else state
         state.select(*self.schema.names).write.partitionBy(*([self.day] if self.day else [])).parquet(aside)
@@ -128,11 +166,11 @@ class BatchTable:
 class KeySet:
     """Distinct keys appended by batches, each batch adding those not yet present."""
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.table = BatchTable(spark, path, schema, T.StructType.fromDDL(schema).names)
+    def __init__(self, spark: SparkSession, path: str, schema: str, commits: Commits | None = None):
+        self.table = BatchTable(spark, path, schema, T.StructType.fromDDL(schema).names, commits=commits)
 
     def add(self, df: DataFrame, batch_id: int) -> None:
-        known = self.current(F.col("batch") < batch_id)
+        known = self.table.rows(F.col("batch") < batch_id, upto=batch_id).select(*self.table.keys)
         new = df.select(*self.table.keys).distinct().join(known, self.table.keys, "left_anti")
         self.table.write(new, batch_id)
 
@@ -144,23 +182,26 @@ class KeySet:
 
 
 class SliceTable:
-    """Rows stored by slice; writing replaces exactly the slices present in the data."""
+    """Rows stored by slice; a batch replaces exactly the slices present in its data.
 
-    def __init__(self, spark: SparkSession, path: str, schema: str, slices: Sequence[str]):
-        self.spark, self.path, self.slices = spark, path, list(slices)
-        self.schema = T.StructType.fromDDL(schema)
-        make_folder(spark, path)
+    Each batch is kept until it is folded, so that readers see a slice as of the last complete batch."""
 
-    def replace(self, df: DataFrame) -> None:
-        # one task per slice writes its file; a slice holds a short ranking
-        (
-            df.select(*self.schema.names)
-            .repartition(*self.slices)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*self.slices)
-            .parquet(self.path)
-        )
+    def __init__(self, spark: SparkSession, path: str, schema: str, slices: Sequence[str], day: str | None = None, commits: Commits | None = None):
+        self.slices = list(slices)
+        self.table = BatchTable(spark, path, schema, slices, day, commits)
+
+    def replace(self, df: DataFrame, batch_id: int | None = None) -> None:
+        if batch_id is None:  # outside a stream: after all that is there
+            last = self.table.rows(upto=2**62).agg(F.max("batch")).first()[0]
+            batch_id = 0 if last is None else last + 1
+        self.table.write(df, batch_id)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        newest = rows.groupBy(*self.slices).agg(F.max("batch").alias("batch"))
+        return rows.join(newest, [*self.slices, "batch"], "left_semi").select(*self.table.schema.names)
 
     def current(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        return self._newest(self.table.rows())
+
+    def compact(self, upto: int, days: Sequence[date] | None = None, at_least: int = COMPACT_EVERY) -> None:
+        self.table.compact(upto, days, at_least=at_least, state=self._newest)

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import clicks as C
 from tallyspark.plans.tables import Tables
-from tallyspark.session import scratch_path
+from tallyspark.session import make_folder, scratch_path
 from tallyspark.sources import readers
 from tallyspark.streaming import clicks_stream as S
-from tallyspark.streaming.sinks import BatchTable, KeySet, SliceTable
+from tallyspark.streaming.keyed_state import state_rows
+from tallyspark.streaming.sinks import BatchTable, Commits, KeySet, SliceTable
 
 TOTALS = "day date, ad_id bigint, province string, city string, n bigint"
 
@@ -192,3 +193,128 @@ def test_minute_windows_with_watermark(spark, tables):
 
 def test_stream_session_keeps_the_runtime_settings(spark):
     assert S.stream_session(spark).conf.get("spark.sql.adaptive.forceOptimizeSkewedJoin") == "true"
+
+
+def test_job_that_fails_between_two_tables_goes_on(spark, parts, tables):
+    whole = S.new_tables(spark)
+    S.run_to_end(S.ClickJob(whole, threshold=1).start(stream(spark, parts), scratch_path(spark, "c")))
+
+    t = S.new_tables(spark)
+    checkpoint, write = scratch_path(spark, "c"), t.totals.write
+
+    def failing(df, batch_id):
+        if batch_id == 2:
+            raise RuntimeError("lost between two tables")
+        write(df, batch_id)
+
+    t.totals.write = failing
+    query = S.ClickJob(t, threshold=1).start(stream(spark, parts), checkpoint)
+    with pytest.raises(Exception, match="lost between two tables"):
+        query.awaitTermination()
+    assert t.commits.last() == 1
+    # rows of the third batch are there, but no reader sees them
+    assert t.user_clicks.rows(upto=2).where("batch = 2").count() > 0 and t.user_clicks.rows().where("batch > 1").count() == 0
+    seen = t.totals.sums().agg(F.sum("n")).first()[0]
+    assert t.per_minute.sums().agg(F.sum("n")).first()[0] == seen == t.totals.rows().agg(F.sum("n")).first()[0]
+
+    t.totals.write = write
+    for _ in range(2):  # first the failed batch, then what has come since
+        S.run_to_end(S.ClickJob(t, threshold=1).start(stream(spark, parts), checkpoint))
+    assert t.commits.last() == whole.commits.last() == 3
+    for name in ("user_clicks", "totals", "per_minute"):
+        assert rows(getattr(t, name).sums()) == rows(getattr(whole, name).sums())
+    assert rows(t.top_ads.current()) == rows(whole.top_ads.current())
+    assert rows(t.blacklist.current()) == rows(whole.blacklist.current())
+
+
+def test_slices_of_unmarked_batches_are_not_read(spark):
+    path = scratch_path(spark, "s")
+    commits = Commits(spark, path)
+    table = SliceTable(spark, f"{path}/top", "v int, p string", ["p"], commits=commits)
+    make = lambda *data: spark.createDataFrame(data, "v int, p string")
+    table.replace(make((1, "x"), (2, "y")), 0)
+    assert table.current().count() == 0
+    commits.mark(0)
+    table.replace(make((9, "x")), 1)
+    assert sorted(r.v for r in table.current().collect()) == [1, 2]
+    commits.mark(1)
+    assert sorted(r.v for r in table.current().collect()) == [2, 9]
+    table.compact(1, at_least=2)
+    assert sorted(r.v for r in table.current().collect()) == [2, 9]
+    commits.forget(1)
+    assert commits.last() == 1
+
+
+def _timed(spark, files, one_by_one=True):
+    """A stream of click lines from files that come one after another."""
+    path = scratch_path(spark, "timed")
+    own = S.stream_session(spark)
+    make_folder(spark, path)
+    lines = readers.file_stream(own, path, "value string", "*.parquet")
+
+    def add(i):
+        rows_ = [(f"{ms}\t1.1.1.1\t{user}\t{ad}\tp\tc",) for ms, user, ad in files[i]]
+        spark.createDataFrame(rows_, "value string").coalesce(1).write.mode("append").parquet(path)
+
+    return C.parse(lines), add
+
+
+DAY = 86_400_000
+
+
+def test_crossings_come_once_and_state_is_dropped(spark):
+    files = [
+        [(1000, 7, 1), (2000, 7, 1), (3000, 8, 1)],
+        [(9000, 7, 1), (5000, 7, 1), (6000, 8, 1)],  # in one batch, out of order
+        [(10_000, 7, 1), (11_000, 8, 1), (DAY + 1, 7, 1)],
+        [(4 * DAY, 9, 9)],
+        [(8 * DAY, 9, 9)],
+    ]
+    clicks, add = _timed(spark, files)
+    table = BatchTable(spark, scratch_path(spark, "t"), "day date, user_id bigint, ad_id bigint, at timestamp, n bigint", ["day", "user_id", "ad_id"])
+    checkpoint, held = scratch_path(spark, "c"), []
+    for i in range(len(files)):
+        add(i)
+        S.run_to_end(S.crossings_to(table, clicks, checkpoint, 2, "1 hour"))
+        held.append(state_rows(spark, checkpoint).count())
+    got = {(r.user_id, r.ms, r.n) for r in table.rows().select("user_id", "n", F.unix_millis("at").alias("ms")).collect()}
+    assert got == {(7, 5000, 3), (8, 11_000, 3)}
+    assert held[:3] == [2, 2, 3] and held[-1] <= 2  # the first days' keys have left
+
+
+def test_crossings_equal_a_batch_result(spark, tables):
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    path, own = scratch_path(spark, "timed"), S.stream_session(spark)
+    make_folder(spark, path)
+    stream_ = C.parse(Tables.click_text(readers.file_stream(own, path, events.schema, "*.parquet")))
+    table = BatchTable(spark, scratch_path(spark, "t"), "day date, user_id bigint, ad_id bigint, at timestamp, n bigint", ["day", "user_id", "ad_id"])
+    middle = events.agg(F.expr("timestampadd(second, timestampdiff(second, min(ts), max(ts)) div 2, min(ts))")).first()[0]
+    checkpoint = scratch_path(spark, "c")
+    for part in (events.where(F.col("ts") < F.lit(middle)), events.where(F.col("ts") >= F.lit(middle))):
+        part.write.mode("append").parquet(path)
+        S.run_to_end(S.crossings_to(table, stream_, checkpoint, 0, "1 hour"))
+    first = tables.clicks.groupBy("day", "user_id", "ad_id").agg(F.min("ts").alias("at"))
+    assert rows(table.rows().select("day", "user_id", "ad_id", "at")) == rows(first)
+
+
+def test_chained_windows_equal_sliding_ones(spark):
+    files = [
+        [(60_000 * i, 1, i % 2) for i in range(50)] + [(60_000 * 7 + i, 1, 1) for i in range(5)],
+        [(60_000 * i, 1, 0) for i in range(50, 140)],
+        [(DAY, 1, 3)],  # closes what is before
+    ]
+    clicks, add = _timed(spark, files)
+    table = BatchTable(spark, scratch_path(spark, "t"), "ad_id bigint, window_end timestamp, n bigint", ["ad_id", "window_end"])
+    checkpoint = scratch_path(spark, "c")
+    for i in range(len(files)):
+        add(i)
+        S.run_to_end(S.chained_counts_to(table, clicks, checkpoint, "10 minutes"))
+    entries = [(f"{ms}\t1.1.1.1\t{user}\t{ad}\tp\tc",) for part in files[:2] for ms, user, ad in part]
+    want = C.sliding_counts(C.parse(spark.createDataFrame(entries, "value string")))
+    assert table.rows().groupBy("ad_id", "window_end").count().where("count > 1").count() == 0
+    assert rows(table.rows().drop("batch")) == rows(want)
+    assert state_operators(spark, checkpoint) == 2  # two stateful steps in one stream
+
+
+def state_operators(spark, checkpoint):
+    return spark.read.format("state-metadata").load(checkpoint).select("operatorId").distinct().count()

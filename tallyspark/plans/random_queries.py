@@ -28,17 +28,16 @@ def random_split_whole(t):
     return _within(_kept(people.random_parts(lines, [10.0, 20.0], 11), "id", F.col("part") == 0), 0.30, 0.37)
 
 
-@query("sample_half_within", "SELECT true AS part_of, true AS once, true AS in_bounds")
+@query("sample_half_within", "SELECT count(*) AS n, count(DISTINCT o_orderkey) AS ids, 0 AS strays, 0 AS repeated, true AS in_bounds FROM orders")
 def sample_half_within(t):
-    """The sample's rows are rows of the table, none twice, about half of them."""
-    orders = t.read("orders").select("o_orderkey")
-    sampled = orders.sample(False, 0.5, 11)
-    marked = orders.join(sampled.withColumn("s", F.lit(1)), "o_orderkey", "full")
-    strays = sampled.join(orders, "o_orderkey", "left_anti").agg(F.count("*").alias("strays"))
-    kept = marked.agg(F.count("s").alias("s"), F.countDistinct(F.when(F.col("s") == 1, F.col("o_orderkey"))).alias("d"), F.count("*").alias("n"))
-    joined = kept.withColumn("k", F.lit(0)).join(strays.withColumn("k", F.lit(0)), "k")
-    return joined.select(
-        (F.col("strays") == 0).alias("part_of"), (F.col("s") == F.col("d")).alias("once"), (F.col("s") / F.col("n")).between(0.45, 0.55).alias("in_bounds")
+    """The sample's rows are rows of the table, none more often than there, about half of them."""
+    orders = t.read("orders").select("o_orderkey").groupBy("o_orderkey").agg(F.count("*").alias("there"))
+    sampled = t.read("orders").select("o_orderkey").sample(False, 0.5, 11).groupBy("o_orderkey").agg(F.count("*").alias("drawn"))
+    both = orders.join(sampled, "o_orderkey", "full").select(F.coalesce("there", F.lit(0)).alias("there"), F.coalesce("drawn", F.lit(0)).alias("drawn"))
+    return both.agg(
+        F.sum("there").alias("n"), F.count_if(F.col("there") > 0).alias("ids"), F.count_if(F.col("there") == 0).cast("int").alias("strays"),
+        F.count_if(F.col("drawn") > F.col("there")).cast("int").alias("repeated"),
+        (F.sum("drawn") / F.sum("there")).between(0.45, 0.55).alias("in_bounds"),
     )
 
 

@@ -198,23 +198,23 @@ class Tables:
 
     @cached_property
     def log_lines(self) -> DataFrame:
-        """Payment log lines of all kinds, one per event."""
-        n = F.col("event_id").cast("string")
-        stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss,SSS")
-        tail = F.concat(
-            F.lit("<response><head><errCode>00000001</errCode><errDesc>ledger: entry"), n
-        )
+        """A log line per event, made of the event's own values; each kind of line has its type of event."""
+        text = lambda c: c.cast("string")
+        user, event = text(F.col("user_id")), text(F.col("event_id"))
+        four = F.concat_ws(" ", F.date_format("ts", "yyyy/MM/dd HH:mm"), F.concat(F.lit("u"), user), F.col("event_type"))
+        spent = F.concat(F.lit(" >>>> shelf"), text(F.col("user_id") % 9), F.lit(" >>>> ["), event, F.lit("]t"))
+        code = F.lpad(text(F.col("user_id") % 100000), 5, "0")
+        refused = F.concat(F.lit(" <response><head><errCode>"), code, F.lit("</errCode><errDesc>row: r"), event)
         kinds = {
-            "click": F.concat(stamp, F.lit(" [WARN] [Login] : 1 -- check >>>> Login >>>> ["), n, F.lit("]ms")),
-            "view": F.concat(stamp, F.lit(" [INFO] [Bill] : 2 -- ref:"), n, F.lit(",readBill reply:ok text "), tail),
-            "purchase": F.concat(stamp, F.lit(" [INFO] [Cart] : 3 -- ref:"), n, F.lit(" took >>>> Cart >>>> ["), n, F.lit("]ms")),
-            "signup": F.concat(stamp, F.lit(" [NOTE ] [Member] : 4 -- ref:"), n, F.lit(",readMember reply:ok text "), tail),
+            "view": F.concat(four, F.lit(" : v -- item:"), event, F.lit(" looked"), spent),
+            "signup": F.concat(four, F.lit(" : s -- door"), spent),
+            "click": F.concat(four, F.lit(" again : c -- ad:"), event, F.lit(",banner not shown"), refused),
+            "purchase": F.concat(four, F.lit(" : p -- basket:"), event, F.lit(",card not taken"), refused),
         }
         line = F
-        for kind, text in kinds.items():
-            line = line.when(F.col("event_type") == kind, text)
-        noise = F.concat(stamp, F.lit(" [INFO] heartbeat "), n)
-        return self.read("events").select("event_id", line.otherwise(noise).alias("value"))
+        for kind, value in kinds.items():
+            line = line.when(F.col("event_type") == kind, value)
+        return self.read("events").select("event_id", line.otherwise(F.concat(four, F.lit(" beat "), event)).alias("value"))
 
     # seasons: a supplier's lines of one year; lines before its debut count in the debut year
 

@@ -92,10 +92,10 @@ def mercator(t):
     "log_classify",
     """
 SELECT event_id,
-       CASE event_type WHEN 'click' THEN 'auth_time' WHEN 'view' THEN 'invoice_error'
-            WHEN 'purchase' THEN 'order_time' ELSE 'account_error' END AS kind,
-       CASE WHEN event_type IN ('click', 'purchase') THEN event_id END AS elapsed_ms,
-       CASE WHEN event_type IN ('view', 'signup') THEN '00000001' END AS error_code
+       CASE event_type WHEN 'signup' THEN 'auth_time' WHEN 'purchase' THEN 'invoice_error'
+            WHEN 'view' THEN 'order_time' ELSE 'account_error' END AS kind,
+       CASE WHEN event_type IN ('signup', 'view') THEN event_id END AS elapsed_ms,
+       CASE WHEN event_type IN ('click', 'purchase') THEN lpad(CAST(user_id % 100000 AS VARCHAR), 5, '0') END AS error_code
 FROM events WHERE event_type <> 'error'
 """,
 )

@@ -176,22 +176,23 @@ def test_ranges_of_all_widths_against_brute_force(spark):
 
 
 def test_log_lines(spark):
-    tail = "<response><head><errCode>00000001</errCode><errDesc>ledger: none"
-    lines = [
-        "2001-02-03 04:05:06,007 [WARN] [Login] : 1 -- check >>>> Login >>>> [31]ms",
-        f"2001-02-03 04:05:07,008 [INFO] [Bill] : 2 -- ref:9,readBill reply:ok text {tail}",
-        "2001-02-03 04:05:08,009 [INFO] [Cart] : 3 -- ref:9 took >>>> Cart >>>> [554]ms",
-        f"2001-02-03 04:05:09,010 [NOTE ] [Member] : 4 -- ref:9,readMember reply:ok text {tail}",
-        "2001-02-03 04:05:10,011 [INFO] [Form] : 5 -- form == <x/>",
-    ]
-    df = telecom.classify_log(spark.createDataFrame([(x,) for x in lines], "value string"))
-    got = [(r.kind, r.elapsed_ms, r.error_code) for r in df.orderBy("kind").collect()]
-    assert got == [
-        ("account_error", None, "00000001"),
-        ("auth_time", 31, None),
-        ("invoice_error", None, "00000001"),
-        ("order_time", 554, None),
-    ]
+    """Lines put together from the fields that each kind has, in every order and with fields missing."""
+    head, spent = ["a", "b", "c", "d"], [">>>>", "e", ">>>>", "[8]f"]
+    refused = ["g", "h", "i<response><head><errCode>42</errCode><errDesc>j:", "k"]
+    made = {
+        "order_time": [*head, ":", "l", "--", "m:n", "o", *spent],
+        "account_error": [*head, "p", ":", "l", "--", "m:n,q", *refused],
+        "auth_time": [*head, ":", "l", "--", "m", *spent],
+        "invoice_error": [*head, ":", "l", "--", "m:n,q", *refused],
+    }
+    lines = {kind: " ".join(fields) for kind, fields in made.items()}
+    others = [" ".join(f for f in made[k] if f != gone) for k, gone in (("order_time", "--"), ("auth_time", ">>>>"), ("invoice_error", "k"), ("account_error", ":"))]
+    df = telecom.classify_log(spark.createDataFrame([(x,) for x in [*others, *lines.values(), ""]], "value string"))
+    got = {r.kind: (r.value, r.elapsed_ms, r.error_code) for r in df.collect()}
+    assert df.count() == 4 and {k: v[0] for k, v in got.items()} == lines
+    assert {k: v[1:] for k, v in got.items()} == {
+        "order_time": (8, None), "auth_time": (8, None), "account_error": (None, "42"), "invoice_error": (None, "42"),
+    }
 
 
 def test_port_traffic(spark):

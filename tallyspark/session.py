@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,12 +33,18 @@ def build(app: str = "tallyspark", master: str | None = None, **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, or one in the warehouse where that is unset.
+    """The folder named by ``spark.checkpoint.dir``, which the driver and all executors share.
 
-    Both are shared by the driver and all executors; a machine-local folder is never used.
+    Where that is unset, a folder in the warehouse, if the warehouse is no local path or all runs on one machine;
+    else there is no folder to share, and the setting is asked for.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    if configured:
+        return configured
+    warehouse, master = spark.conf.get("spark.sql.warehouse.dir"), spark.sparkContext.master
+    if (warehouse.startswith(("file:", "/"))) and not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{warehouse.rstrip('/')}/_stages"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -63,8 +70,12 @@ def materialise(df: DataFrame, instead_of: DataFrame | None = None) -> DataFrame
 
 
 def _file_system(spark: SparkSession, path: str):
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+    known = getattr(spark.sparkContext, "_tallyspark_hadoop", None)
+    if known is None:  # looked up once: every name on the way is a call to the JVM
+        known = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.commons.lang3.ArrayUtils
+        spark.sparkContext._tallyspark_hadoop = known
+    target = known[0](path)
+    return target.getFileSystem(known[1]), target
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -77,6 +88,18 @@ def make_folder(spark: SparkSession, path: str) -> None:
     fs.mkdirs(target)
 
 
+def folders_below(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths relative to ``path`` that match ``pattern`` (such as ``day=*/batch=*``), in one call. No part of the
+    pattern may match a slash or a comma."""
+    fs, target = _file_system(spark, f"{path}/{pattern}")
+    found = fs.globStatus(target)
+    if not found:
+        return []
+    depth = pattern.count("/") + 1
+    text = spark.sparkContext._tallyspark_hadoop[2].toString(spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(found))
+    return sorted("/".join(p.split("/")[-depth:]) for p in text[1:-1].split(","))
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, without hidden ones."""
     fs, target = _file_system(spark, path)

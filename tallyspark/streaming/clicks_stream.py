@@ -5,8 +5,12 @@ State is keyed by event time, so totals do not depend on how input falls into ba
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -50,6 +54,13 @@ def start(df: DataFrame, handler, checkpoint: str, mode: str = "append", every:
     return writer.start()
 
 
+def side_by_side(spark: SparkSession, *steps: Callable[[], None]) -> None:
+    """Runs independent steps at a time, so that the jobs of small tables share the cluster; fails if one does."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]:
+            done.result()
+
+
 def running_totals_to(
     table: BatchTable, clicks: DataFrame, checkpoint: str, every: str | None = None, watermark: str | None = None
 ) -> StreamingQuery:
@@ -167,18 +178,24 @@ class ClickJob:
             days = [r["day"] for r in kept.select("day").distinct().collect()]  # the few days of a batch
             self.fold(batch_id - 1, days)
             valid = C.valid_clicks(C.batch_counts(kept)).withColumn("day", F.to_date(F.timestamp_millis("ts_ms")))
-            t.user_clicks.write(C.daily_user_counts(valid), batch_id)
+
+            def rank() -> None:
+                t.totals.write(C.running_totals(kept), batch_id)
+                slices = kept.select("day", "province").distinct()
+                affected = t.totals.rows(days=days, upto=batch_id).join(slices, ["day", "province"], "left_semi")
+                t.top_ads.replace(C.province_top(affected, self.top), batch_id)
+
+            side_by_side(
+                t.spark,
+                lambda: t.user_clicks.write(C.daily_user_counts(valid), batch_id),
+                rank,
+                lambda: t.per_minute.write(C.minute_counts(kept).withColumn("day", F.to_date("minute")), batch_id),
+            )
+            # last, as what reads the list is made again once it is written to
             touched = valid.select("day", "user_id", "ad_id").distinct()
             history = t.user_clicks.rows(days=days, upto=batch_id).join(touched, ["day", "user_id", "ad_id"], "left_semi")
             sums = history.groupBy("day", "user_id", "ad_id").agg(F.sum("n").alias("n"))
             t.blacklist.add(C.blacklisted(sums, self.threshold), batch_id)
-
-            t.totals.write(C.running_totals(kept), batch_id)
-            slices = kept.select("day", "province").distinct()
-            affected = t.totals.rows(days=days, upto=batch_id).join(slices, ["day", "province"], "left_semi")
-            t.top_ads.replace(C.province_top(affected, self.top), batch_id)
-
-            t.per_minute.write(C.minute_counts(kept).withColumn("day", F.to_date("minute")), batch_id)
             t.commits.mark(batch_id)
             t.commits.forget(batch_id)
         finally:
@@ -187,10 +204,8 @@ class ClickJob:
     def fold(self, upto: int, days: list) -> None:
         """Folds complete batches of the days in use."""
         t = self.tables
-        t.user_clicks.compact(upto, days, at_least=self.compact_every)
-        t.totals.compact(upto, days, at_least=self.compact_every)
-        t.per_minute.compact(upto, days, at_least=self.compact_every)
-        t.top_ads.compact(upto, days, at_least=self.compact_every)
+        tables = (t.user_clicks, t.totals, t.per_minute, t.top_ads)
+        side_by_side(t.spark, *[partial(table.compact, upto, days, at_least=self.compact_every) for table in tables])
 
     def start(self, clicks: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         return start(clicks, self, checkpoint, "append", every)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import make_folder, remove, rename, subfolders
+from ..session import folders_below, make_folder, remove, rename
 
 COMPACT_EVERY = 16
 
@@ -35,11 +35,11 @@ class Commits:
 
     def last(self) -> int:
         """The last batch with a marker, -1 before the first. Batches are marked one after another."""
-        return max((int(n.partition("=")[2]) for n in subfolders(self.spark, self.path)), default=-1)
+        return max((int(n.partition("=")[2]) for n in folders_below(self.spark, self.path, "batch=*")), default=-1)
 
     def forget(self, before: int) -> None:
         """Removes older markers, which the last one stands for."""
-        for name in subfolders(self.spark, self.path):
+        for name in folders_below(self.spark, self.path, "batch=*"):
             if int(name.partition("=")[2]) < before:
                 remove(self.spark, f"{self.path}/{name}")
 
@@ -72,26 +72,22 @@ class BatchTable:
             out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(self.path)
         )
 
-    def _days(self, days: Sequence[date] | None = None) -> list[str]:
-        """Folders of the days, or the table's own."""
-        if not self.day:
-            return [self.path]
-        known = [n for n in subfolders(self.spark, self.path) if n.startswith(f"{self.day}=")]
-        wanted = None if days is None else {f"{self.day}={d.isoformat()}" for d in days}
-        return [f"{self.path}/{n}" for n in known if wanted is None or n in wanted]
-
-    def _batches(self, folder: str) -> tuple[int | None, list[int], list[int]]:
-        """The last merged batch of a folder, all merged ones, and the single ones."""
-        merged, single = (
-            sorted(int(n.partition("=")[2]) for n in subfolders(self.spark, f"{folder}/merged={kind}") if n.startswith("batch="))
-            for kind in (1, 0)
-        )
-        return (merged[-1] if merged else None), merged, single
+    def _found(self, days: Sequence[date] | None = None) -> dict[str, tuple[int | None, list[int], list[int]]]:
+        """For the folder of each day, or the table's own: the last merged batch, all merged ones, and the single ones."""
+        known = folders_below(self.spark, self.path, f"{f'{self.day}=*/' if self.day else ''}merged=*/batch=*")
+        wanted = None if days is None or not self.day else {f"{self.day}={d.isoformat()}" for d in days}
+        found: dict[str, tuple[list[int], list[int]]] = {}
+        for name in known:
+            *day, merged, batch = name.split("/")
+            if wanted is None or day[0] in wanted:
+                kinds = found.setdefault("/".join([self.path, *day]), ([], []))
+                kinds[merged == "merged=0"].append(int(batch.partition("=")[2]))
+        return {folder: (max(merged, default=None), sorted(merged), sorted(single)) for folder, (merged, single) in sorted(found.items())}
 
     def rows(self, where: Column | None = None, days: Sequence[date] | None = None, upto: int | None = None) -> DataFrame:
         full = T.StructType([*self.schema.fields, T.StructField("merged", T.IntegerType()), T.StructField("batch", T.LongType())])
-        found = {folder: self._batches(folder) for folder in self._days(days)}
-        folders = [f for f, (_, merged, single) in found.items() if merged or single]
+        found = self._found(days)
+        folders = list(found)
         reader = self.spark.read.schema(full)
         df = reader.option("basePath", self.path).parquet(*folders) if folders else reader.parquet(self.path).where("false")
         folded: dict[int | None, list[date]] = {}
@@ -130,8 +126,7 @@ class BatchTable:
 
         ``state`` makes the folded rows of the table's rows; by default they are sums or latest values by key."""
         due = {}
-        for folder in self._days(days):
-            _, merged, single = self._batches(folder)
+        for folder, (_, merged, single) in self._found(days).items():
             old = [b for b in single if b <= upto]
             if len(old) >= at_least:
                 due[folder] = (merged, old)

@@ -203,7 +203,7 @@ def test_job_that_fails_between_two_tables_goes_on(spark, parts, tables):
     checkpoint, write = scratch_path(spark, "c"), t.totals.write
 
     def failing(df, batch_id):
-        if batch_id == 2:
+        if batch_id == 1:
             raise RuntimeError("lost between two tables")
         write(df, batch_id)
 
@@ -211,16 +211,15 @@ def test_job_that_fails_between_two_tables_goes_on(spark, parts, tables):
     query = S.ClickJob(t, threshold=1).start(stream(spark, parts), checkpoint)
     with pytest.raises(Exception, match="lost between two tables"):
         query.awaitTermination()
-    assert t.commits.last() == 1
-    # rows of the third batch are there, but no reader sees them
-    assert t.user_clicks.rows(upto=2).where("batch = 2").count() > 0 and t.user_clicks.rows().where("batch > 1").count() == 0
+    assert t.commits.last() == 0
+    # rows of the second batch are there, but no reader sees them
+    assert t.user_clicks.rows(upto=1).where("batch = 1").count() > 0 and t.user_clicks.rows().where("batch > 0").count() == 0
     seen = t.totals.sums().agg(F.sum("n")).first()[0]
     assert t.per_minute.sums().agg(F.sum("n")).first()[0] == seen == t.totals.rows().agg(F.sum("n")).first()[0]
 
     t.totals.write = write
-    for _ in range(2):  # first the failed batch, then what has come since
-        S.run_to_end(S.ClickJob(t, threshold=1).start(stream(spark, parts), checkpoint))
-    assert t.commits.last() == whole.commits.last() == 3
+    S.run_to_end(S.ClickJob(t, threshold=1).start(stream(spark, parts), checkpoint))
+    assert t.commits.last() == whole.commits.last() > 1
     for name in ("user_clicks", "totals", "per_minute"):
         assert rows(getattr(t, name).sums()) == rows(getattr(whole, name).sums())
     assert rows(t.top_ads.current()) == rows(whole.top_ads.current())

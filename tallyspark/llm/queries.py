@@ -78,8 +78,7 @@ SELECT d.doc_id, t.text, coalesce(t.removed_lines, 0) AS removed_lines FROM docu
 
 @query
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
-    return secrets.findings(docs, secrets.train(docs))
+    return secrets.findings(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 @query

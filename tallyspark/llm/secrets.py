@@ -10,8 +10,13 @@ or word is not; what follows a name and ``is`` and has lower-case letters only h
 ``redact`` takes the secrets out of the texts: long ones with a digit wherever they occur, others where they follow a
 secret's name or a user, since they may be ordinary words or parts of some.
 
-Scoring is done inside the row, by functions on arrays: no shuffle, no Python on the executors.
-Learning uses the ``sample_rows`` labelled findings with the smallest hash.
+Such labels come from some of the features, which would then be all that the forest learns. So each labelled finding
+is learned from twice, once with those features hidden, which leaves its form: length, kinds of characters and their
+transitions, dictionary coverage. ``agreement`` measures that view on labelled findings held apart.
+
+Texts are scanned once: candidates and their features are stored, and learning and judging read those. Scoring is done
+inside the row, by functions on arrays: no shuffle, no Python on the executors. Learning uses the ``sample_rows`` labelled
+findings with the smallest hash.
 
 Defined results: null and blank texts have no findings; equal words are found as often as they occur;
 repeated rows each have theirs; without labelled findings of both kinds every one is scored by its
@@ -26,6 +31,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialise
+
 SAMPLE_ROWS = 4000
 MIN_CHARS = 14
 TREES = 15
@@ -134,6 +141,11 @@ def scanned(docs: DataFrame, text: str = "text") -> DataFrame:
     return found.withColumn("_found", features).drop("_valued")
 
 
+def _with_found(docs: DataFrame, text: str) -> DataFrame:
+    """``docs`` scanned, unless they are already."""
+    return docs if "_found" in docs.columns else scanned(docs, text)
+
+
 def certain_label(c: Column) -> Column:
     """1 for a certain secret, 0 for a certain false positive, else null."""
     secret = (c["key_format"] == 1) | (c["named"] == 1) | (c["named_before"] == 3) | ((c["named_before"] == 2) & (c["lower_share"] < 1))
@@ -192,12 +204,20 @@ def forest(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH)
     return [_tree(x[rows], y[rows], rng, depth) for rows in (rng.integers(0, len(y), len(y)) for _ in range(trees))]
 
 
-def train(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> list[Node]:
-    """The forest from labelled findings (value, is_secret), or else from certain labels.
+#: Features that ``certain_label`` reads.
+EVIDENCE = ["key_format", "named", "named_before", "path", "address", "digits_only", "placeholder"]
 
-    Equal numbers of either kind are sampled, so that rare secrets are learned as well.
-    """
-    rows = scanned(docs.select(text), text).select(F.explode("_found").alias("c"))
+
+def without_evidence(x: np.ndarray) -> np.ndarray:
+    """Rows of features with those hidden that labels are made of."""
+    hidden = x.copy()
+    hidden[:, [FEATURES.index(n) for n in EVIDENCE]] = 0.0
+    return hidden
+
+
+def labelled_rows(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most ``sample_rows`` distinct findings, as many of either kind at most."""
+    rows = (docs if "_found" in docs.columns else scanned(docs.select(text), text)).select(F.explode("_found").alias("c"))
     if labelled is None:
         rows = rows.withColumn("label", certain_label(F.col("c")))
     else:
@@ -208,7 +228,29 @@ def train(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None
     for label in (0, 1):
         out += flat.where(F.col("label") == label).orderBy(F.xxhash64("value"), *columns).limit(sample_rows // 2).select(*columns).collect()
     data = np.array([list(r) for r in out], float).reshape(len(out), len(columns))
-    return forest(data[:, 1:], data[:, 0])
+    return data[:, 1:], data[:, 0]
+
+
+def learned(x: np.ndarray, y: np.ndarray) -> list[Node]:
+    """The forest of labelled findings, each seen with and without the evidence."""
+    return forest(np.vstack([x, without_evidence(x)]), np.concatenate([y, y]))
+
+
+def train(docs: DataFrame, text: str = "text", labelled: DataFrame | None = None, sample_rows: int = SAMPLE_ROWS) -> list[Node]:
+    """The forest from labelled findings (value, is_secret), or else from certain labels.
+
+    Equal numbers of either kind are sampled, so that rare secrets are learned as well.
+    """
+    return learned(*labelled_rows(docs, text, labelled, sample_rows))
+
+
+def agreement(x: np.ndarray, y: np.ndarray, share: int = 4) -> tuple[float, float]:
+    """Precision and recall on every ``share``-th labelled finding, its evidence hidden, of a forest learned from the others."""
+    held = np.arange(len(y)) % share == 0
+    trees = learned(x[~held], y[~held])
+    said = np.array([np.mean([t.predict(r) for t in trees]) >= 0.5 for r in without_evidence(x[held])])
+    right = (said & (y[held] == 1)).sum()
+    return right / max(1, said.sum()), right / max(1, (y[held] == 1).sum())
 
 
 def score(trees: list[Node], name: str) -> Column:
@@ -225,17 +267,23 @@ def judged(docs: DataFrame, trees: list[Node], text: str = "text", threshold: fl
         scored = F.expr(f"transform(_found, c -> named_struct('place', c.place, 'value', c.value, 'score', {total}))")
     else:
         scored = F.transform("_found", lambda c: F.struct(c["place"].alias("place"), c["value"].alias("value"), F.coalesce(certain_label(c), F.lit(0)).cast("double").alias("score")))
-    found = scanned(docs, text).withColumn("_scored", scored).drop("_found")
+    found = _with_found(docs, text).withColumn("_scored", scored).drop("_found")
     return found.withColumn(
         "findings",
         F.transform("_scored", lambda c: F.struct(c["place"], c["value"], c["score"], (c["score"] >= threshold).alias("is_secret"))),
     ).drop("_scored")
 
 
-def redact(docs: DataFrame, trees: list[Node], text: str = "text", count: str = "n_secrets") -> DataFrame:
-    """``docs`` with each secret in ``text`` replaced by a mask, and their number in ``count``."""
-    names = [c for c in docs.columns if c != count]
-    found = judged(docs.select(*names), trees, text)
+def redact(docs: DataFrame, trees: list[Node] | None = None, text: str = "text", count: str = "n_secrets") -> DataFrame:
+    """``docs`` with each secret in ``text`` replaced by a mask, and their number in ``count``. Without ``trees``
+    the forest is learned from the same scan."""
+    given = [c for c in docs.columns if c != count]
+    names = [c if c == text else f"c{i}" for i, c in enumerate(given)]  # so that no name clashes with one made here
+    own = docs.select(*given).toDF(*names)
+    if trees is None:
+        own = materialise(scanned(own, text))
+        trees = train(own, text)
+    found = judged(own, trees, text)
     secrets = found.withColumn("_secrets", F.array_distinct(F.transform(F.filter("findings", lambda c: c["is_secret"]), lambda c: c["value"])))
     # longer values first, so that none is cut by one it contains
     ordered = secrets.withColumn("_ordered", F.reverse(F.array_sort(F.transform("_secrets", lambda v: F.struct(F.char_length(v), v.alias("v"))))))
@@ -251,9 +299,14 @@ def redact(docs: DataFrame, trees: list[Node], text: str = "text", count: str =
     return ordered.select(
         *[F.when(F.size("_secrets") > 0, masked).otherwise(F.col(text)).alias(c) if c == text else F.col(c) for c in names],
         F.size("_secrets").alias(count),
-    )
+    ).toDF(*given, count)
 
 
-def findings(docs: DataFrame, trees: list[Node], text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """One row per candidate: doc_id, place (word number from 0), value, score, is_secret."""
-    return judged(docs.select("doc_id", text), trees, text, threshold).select("doc_id", F.inline("findings"))
+def findings(docs: DataFrame, trees: list[Node] | None = None, text: str = "text", threshold: float = 0.5) -> DataFrame:
+    """One row per candidate: doc_id, place (word number from 0), value, score, is_secret. Without ``trees`` the
+    forest is learned from the same scan."""
+    found = scanned(docs.select("doc_id", text), text).drop(text)
+    if trees is None:
+        found = materialise(found.where(F.size("_found") > 0))
+        trees = train(found, text)
+    return judged(found, trees, text, threshold).select("doc_id", F.inline("findings"))

@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -45,13 +46,45 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+@lru_cache(maxsize=1)
+def unassigned() -> list[int]:
+    """Code points that Python's tables do not know, in the planes where characters are assigned."""
+    import unicodedata
+
+    planes = [*range(0x40000), *range(0xE0000, 0xE1000)]
+    return [c for c in planes if unicodedata.category(chr(c)) == "Cn"]
+
+
+def otherwise_normalised(normalize) -> list[int]:
+    """Code points that ``normalize``, the tokenizer's own, lower-cases, composes or orders otherwise than Python."""
+    import unicodedata
+
+    def differs(text: str) -> bool:
+        return normalize(text) != unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+
+    out = []
+    for c in map(chr, [*range(0x300, 0xD800), *range(0xF900, 0x20000), 0xE0000]):
+        mark = unicodedata.combining(c)
+        if mark and (differs(f"a{c}\u0334") or differs(f"a\u0345{c}")) or (mark or c.lower() != c or unicodedata.decomposition(c)) and differs(c):
+            out.append(ord(c))
+    return out
+
+
+def one_of(codes: list[int]) -> re.Pattern:
+    """A pattern for one of the code points, given in ascending order."""
+    starts = [c for c, before in zip(codes, [-2, *codes]) if c != before + 1]
+    ends = [c for c, after in zip(codes, [*codes[1:], -2]) if after != c + 1]
+    return re.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(starts, ends)) + "]")
+
+
 class WordEncoder:
     """Ids of texts by a BPE file with word ends, one encoding per distinct word of a batch.
 
     The tokenizer drops white space and never joins across it, so a text's ids are those of its
     words in turn. Distinct words are encoded in one call of a merge table built from the same file:
     the word end is a newline byte, and the letters that carry it come before all merges. Texts that
-    contain one of the file's special strings go to the file's own tokenizer.
+    contain one of the file's special strings, or a character that Python's tables know otherwise than the
+    tokenizer's, or not at all, go to the file's own tokenizer.
     """
 
     PART_END, WORD_END = "\n", "\r"
@@ -83,6 +116,7 @@ class WordEncoder:
         self.merges = tiktoken.Encoding(
             "words", pat_str=r"[^\n\r]*\n|\r", mergeable_ranks=ranks, special_tokens={}
         )
+        self.unknown = one_of(sorted({*unassigned(), *otherwise_normalised(self.whole.normalizer.normalize_str)}))
         self.part = regex.compile(PART)
         self.white = regex.compile(f"[{WHITE}--[\r]]", regex.V1)
 
@@ -101,7 +135,7 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         texts = [t or "" for t in texts]
-        odd = {i for i, t in enumerate(texts) if any(s in t for s in self.special)}
+        odd = {i for i, t in enumerate(texts) if any(s in t for s in self.special) or not t.isascii() and self.unknown.search(t)}
         plain = pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string())
         lists = pc.ascii_split_whitespace(plain)
         flat = pc.dictionary_encode(lists.flatten())

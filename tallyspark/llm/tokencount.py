@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .packing import byte_letters
+from .packing import byte_letters, unassigned
 
 CHUNK = 512
 BLOCK_CHARS = 1 << 21
@@ -64,13 +64,29 @@ def word_transducer() -> tuple[np.ndarray, np.ndarray]:
 
 @lru_cache(maxsize=1)
 def classes() -> np.ndarray:
-    """LETTER, NUMBER, OTHER or BLANK of every code point."""
+    """LETTER, NUMBER, OTHER or BLANK of every code point; those that Python does not know are asked of the library,
+    whose tables may be newer."""
     kinds = {"L": LETTER, "N": NUMBER}
     out = np.fromiter((kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)), np.uint8, 0x110000)
     out[[ord(c) for c in WHITE]] = BLANK
+    unknown = np.array(unassigned())
+    for at in range(0, len(unknown), 20_000):
+        out[unknown[at : at + 20_000]] = asked(unknown[at : at + 20_000])
     return out
 
 
+def asked(codes: np.ndarray) -> np.ndarray:
+    """Classes of code points by the words that the library cuts around them."""
+    from tokenizers import pre_tokenizers
+
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    found = cut.pre_tokenize_str("".join(f"a{chr(c)}1{chr(c)}!" for c in codes))
+    begins = np.zeros(5 * len(codes), bool)
+    begins[[start for _, (start, _) in found]] = True
+    _, to_letter, _, to_number, from_other = begins.reshape(-1, 5).T
+    return np.select([~to_letter, ~to_number, ~from_other], [LETTER, NUMBER, OTHER], BLANK).astype(np.uint8)
+
+
 def symbols(codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Symbols of the code points of texts, each followed by one place at ``ends``."""
     out = classes()[codes]

@@ -54,17 +54,18 @@ def line_spread(lines: DataFrame, min_sites: int = MIN_SITES, log_k: int = LOG_K
         .where(F.col("n") >= min_sites).select("key", "first_id")
     )
     often = materialise(often)
-    # a hot line is one row per site and task after this count, so the join moves few rows
-    seen = materialise(
-        lines.where(F.col("site").isNotNull()).join(often.select("key"), "key", "left_semi").groupBy("key", "site").agg(F.count("*").alias("n"))
+    sited = lines.where(F.col("site").isNotNull())
+    # a hot line leaves each task as one sketch
+    estimate = materialise(
+        sited.join(often.select("key"), "key", "left_semi")
+        .groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_k))).alias("sites"))
     )
-    estimate = seen.groupBy("key").agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(log_k))).alias("sites"))
     margin = max(1.0, ERRORS * 1.04 / math.sqrt(1 << log_k) * min_sites)
-    estimate = materialise(estimate)
     near = F.abs(F.col("sites") - min_sites) <= margin
+    # sites themselves are gathered for the lines near the threshold alone
     exact = (
-        seen.join(estimate.where(near).select("key"), "key", "left_semi")
-        .groupBy("key").agg(F.countDistinct("site").alias("sites"))
+        sited.join(estimate.where(near).select("key"), "key", "left_semi")
+        .groupBy("key", "site").agg(F.count("*").alias("n")).groupBy("key").agg(F.count("*").alias("sites"))
     )
     spread = estimate.where(~near).unionByName(exact).where(F.col("sites") >= min_sites)
     return spread.join(often, "key").select("key", "first_id", "sites")

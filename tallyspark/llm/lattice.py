@@ -58,8 +58,11 @@ class Pieces:
     def word_pattern(self) -> str:
         """A word: space marks and what follows of characters that longer pieces hold, or one other character."""
         joined = sorted({c for piece, _, _ in self.rows if len(piece) > 1 for c in piece} - {SPACE})
-        letters = "".join(re.escape(c) if c.isascii() else c for c in joined)
-        return f"{SPACE}+[{letters}]*|[{letters}]+|(?s)."
+        near = "".join(re.escape(c) if c.isascii() else c for c in joined if c < "\u0250")
+        far = "".join(c for c in joined if c >= "\u0250")
+        # the many characters of other scripts are tried for such characters alone, and not where a space mark ends a word
+        letters = f"[{near}[[^\\x00-\\u024f{SPACE}]&&[{far}]]]" if far else f"[{near}]"
+        return f"{SPACE}+{letters}*|{letters}+|(?s)."
 
 
 def literal_array(values: list, kind: str) -> Column:
@@ -85,27 +88,49 @@ def edges(words: DataFrame, pieces: Pieces) -> DataFrame:
     return grouped.withColumn("n", F.char_length("word"))
 
 
+def _spans(to: Column, x: Column) -> Column:
+    """Whether edge ``x`` spans two adjacent symbols; ``to`` has the end of the symbol that starts at each place, or -1."""
+    middle = F.get(to, x["s"])
+    return (middle > 0) & (middle < x["e"]) & (F.get(to, middle) == x["e"])
+
+
+def _merged(to: Column, x: Column) -> Column:
+    return F.transform(to, lambda v, i: F.when(i == x["s"], x["e"]).when((i > x["s"]) & (i < x["e"]), F.lit(-1)).otherwise(v))
+
+
 def merges(edge_list: Column, n: Column) -> Column:
-    """For each place, the end of the symbol that starts there, or -1: best-scored merges first."""
+    """For each place, the end of the symbol that starts there, or -1: best-scored merges first.
+
+    A piece is made after the pieces it is merged from, so its score is below theirs, and one fold over the edges in
+    the order of scores meets every merge when its turn has come. A piece that is put together from other parts than
+    those it was made of may come too late; where an edge is still open at the end, the word is merged step by step.
+    """
+    longer = F.filter(edge_list, lambda x: x["e"] > x["s"] + 1)
+    ordered = F.array_sort(F.transform(longer, lambda x: F.struct((-x["score"]).alias("rank"), x["s"].alias("s"), x["e"].alias("e"))))
+    start = F.transform(F.sequence(F.lit(0), n - 1), lambda i: i + 1)
+    swept = F.aggregate(ordered, start, lambda to, x: F.when(_spans(to, x), _merged(to, x)).otherwise(to))
+
+    def settled(to: Column) -> Column:
+        return F.when(F.exists(longer, lambda x: _spans(to, x)), merges_stepwise(edge_list, n)).otherwise(to)
+
+    return F.get(F.transform(F.array(swept), settled), F.lit(0))
+
+
+def merges_stepwise(edge_list: Column, n: Column) -> Column:
+    """The same, looking for the best merge of all at each step."""
     longer = F.filter(edge_list, lambda x: x["e"] > x["s"] + 1)
     start = F.transform(F.sequence(F.lit(0), n - 1), lambda i: i + 1)
 
     def step(state: Column, _: Column) -> Column:
         to, open_ = state["to"], state["open"]
-        spans = lambda x: (F.get(to, x["s"]) > 0) & (F.get(to, x["s"]) < x["e"]) & (F.get(to, F.get(to, x["s"])) == x["e"])
         best = F.aggregate(
-            F.filter(open_, spans), F.lit(None).cast("struct<s:int,e:int,score:double>"),
+            F.filter(open_, lambda x: _spans(to, x)), F.lit(None).cast("struct<s:int,e:int,score:double>"),
             lambda a, x: F.when(a.isNull() | (x["score"] > a["score"]), x).otherwise(a),
         )
         merged = F.transform(
             F.array(best),
-            lambda b: F.when(
-                b.isNotNull(),
-                F.struct(
-                    F.transform(to, lambda v, i: F.when(i == b["s"], b["e"]).when((i > b["s"]) & (i < b["e"]), F.lit(-1)).otherwise(v)).alias("to"),
-                    open_.alias("open"),
-                ),
-            ).otherwise(F.struct(to.alias("to"), F.slice(open_, 1, 0).alias("open"))),  # nothing is left to merge
+            lambda b: F.when(b.isNotNull(), F.struct(_merged(to, b).alias("to"), open_.alias("open")))
+            .otherwise(F.struct(to.alias("to"), F.slice(open_, 1, 0).alias("open"))),  # nothing is left to merge
         )
         return F.get(merged, F.lit(0))
 
@@ -144,9 +169,8 @@ def viterbi(edge_list: Column, n: Column, unknown: float = -100.0) -> Column:
 
 def word_ids(words: DataFrame, pieces: Pieces, path=merges) -> DataFrame:
     """(word, ids) of distinct words."""
-    chosen = edges(words, pieces).withColumn("to", path(F.col("edges"), F.col("n")))
+    chosen = edges(words, pieces)
     byte_ids = literal_array(pieces.byte_ids, "int")
-    in_path = F.filter("edges", lambda x: F.get("to", x["s"]) == x["e"])
 
     def ids(x: Column) -> Column:
         letter = F.hex(F.encode(F.substring(F.col("word"), x["s"] + 1, F.lit(1)), "UTF-8"))
@@ -156,7 +180,12 @@ def word_ids(words: DataFrame, pieces: Pieces, path=merges) -> DataFrame:
         )
         return F.when(x["id"].isNotNull(), F.array(x["id"])).otherwise(single)
 
-    return chosen.select("word", F.flatten(F.transform(in_path, ids)).alias("ids"))
+    def along(to: Column) -> Column:
+        return F.flatten(F.transform(F.filter("edges", lambda x: F.get(to, x["s"]) == x["e"]), ids))
+
+    # in an array, so that the path is found once and not for each edge that asks for it
+    paths = F.array(path(F.col("edges"), F.col("n")))
+    return chosen.select("word", F.get(F.transform(paths, along), F.lit(0)).alias("ids"))
 
 
 def placed_words(texts: DataFrame, at_once: int = 100_000) -> DataFrame:
@@ -190,8 +219,8 @@ def encode(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "id
     found = F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.word_pattern()), F.lit(0))
     cut = source.where(F.col(text).isNotNull()).select("_row", found.alias("words"))
     occurring = placed_words(cut)
-    distinct = materialise(cut.select(F.explode("words").alias("word")).distinct())
-    known = materialise(word_ids(distinct, pieces, path))
+    # the shuffle that makes words distinct serves the grouping of their edges as well
+    known = materialise(word_ids(cut.select(F.explode("words").alias("word")).distinct(), pieces, path))
     joined = (
         occurring.join(known, "word").groupBy("_row").agg(F.collect_list(F.struct("places", "ids")).alias("_parts"))  # one text's words
     )

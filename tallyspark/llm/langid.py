@@ -115,11 +115,17 @@ def fit(features: np.ndarray, labels: list[str], ridge: float = RIDGE) -> Model
     held[order[2::3]] = True
 
     def solve(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        x, t = features[rows].astype(np.float64), code[y[rows]].astype(np.float64)
+        t = code[y[rows]].astype(np.float64)
         bias = t.mean(0)
-        inner = x @ x.T
-        dual = np.linalg.solve(inner + ridge * np.eye(len(x)), t - bias)
-        return (x.T @ dual).astype(np.float32), bias.astype(np.float32)
+        # a part of the features at a time in double precision, so that they are not held twice
+        parts = [slice(at, at + 1024) for at in range(0, features.shape[1], 1024)]
+        inner = ridge * np.eye(len(rows))
+        for part in parts:
+            x = features[:, part][rows].astype(np.float64)
+            inner += x @ x.T
+        dual = np.linalg.solve(inner, t - bias)
+        weights = np.concatenate([features[:, part][rows].astype(np.float64).T @ dual for part in parts])
+        return weights.astype(np.float32), bias.astype(np.float32)
 
     weights, bias = solve(np.flatnonzero(~held))
     right = ((features @ weights + bias) * code[y] > 0) & held[:, None]
@@ -157,13 +163,16 @@ def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.n
             )
 
     sampled = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
-    found = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").collect()
-    found.sort(key=lambda r: (r["lang"], r["at"], r["n"]))
-    features = np.zeros((len(found), DIMS), np.float32)
-    for row, r in zip(features, found):
-        row[r["at"]] = r["n"]
+    table = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow().combine_chunks()
+    at, n = (table[c].combine_chunks() for c in ("at", "n"))
+    ends, places, counts = at.offsets.to_numpy(), at.values.to_numpy(), n.values.to_numpy()
+    rows = [(lang, places[a:b], counts[a:b]) for lang, a, b in zip(table["lang"].to_pylist(), ends[:-1], ends[1:])]
+    rows.sort(key=lambda r: (r[0], r[1].astype(">i4").tobytes(), r[2].astype(">i4").tobytes()))
+    features = np.zeros((len(rows), DIMS), np.float32)
+    for row, (_, own, found) in zip(features, rows):
+        row[own] = found
         row[:] = scaled(row)
-    return features, [r["lang"] for r in found]
+    return features, [r[0] for r in rows]
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:

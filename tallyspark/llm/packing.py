@@ -133,9 +133,17 @@ class WordEncoder:
         before = np.cumsum(kept)[ends] if len(ends) else np.zeros(0, np.int64)
         return out[kept].astype("<u4"), np.diff(before, prepend=0)
 
+    def _unsure(self, text: str) -> bool:
+        """Whether a text has a character of ``unknown``, all of which lie beyond Latin-1."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.unknown.search(text) is not None
+        return False
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         texts = [t or "" for t in texts]
-        odd = {i for i, t in enumerate(texts) if any(s in t for s in self.special) or not t.isascii() and self.unknown.search(t)}
+        odd = {i for i, t in enumerate(texts) if any(s in t for s in self.special) or self._unsure(t)}
         plain = pa.array(["" if i in odd else t for i, t in enumerate(texts)], pa.large_string())
         lists = pc.ascii_split_whitespace(plain)
         flat = pc.dictionary_encode(lists.flatten())

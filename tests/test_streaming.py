@@ -317,3 +317,17 @@ def test_chained_windows_equal_sliding_ones(spark):
 
 def state_operators(spark, checkpoint):
     return spark.read.format("state-metadata").load(checkpoint).select("operatorId").distinct().count()
+
+
+def test_crossings_of_many_keys_take_few_calls(spark):
+    """The keys of a day share calls and rows of state, so both stay bounded while the keys grow."""
+    files = [[(1000 + i, i % 600, 1) for i in range(600)], [(5000 + i, i % 600, 1) for i in range(0, 600, 2)] + [(7000, 2, 1)]]
+    clicks, add = _timed(spark, files)
+    table = BatchTable(spark, scratch_path(spark, "t"), "day date, user_id bigint, ad_id bigint, at timestamp, n bigint", ["day", "user_id", "ad_id"])
+    checkpoint = scratch_path(spark, "c")
+    for i in range(len(files)):
+        add(i)
+        S.run_to_end(S.crossings_to(table, clicks, checkpoint, 1, "1 hour"))
+    got = sorted(tuple(r) for r in table.rows().select("user_id", "n", F.unix_millis("at")).collect())
+    assert got == [(i, 2, 5000 + i) for i in range(0, 600, 2)]
+    assert state_rows(spark, checkpoint).count() <= 256

@@ -258,12 +258,25 @@ def wedges(directed: KeyedRows) -> DataFrame:
     return directed.cold.join(other, "a").where(F.struct("db", "b") < F.struct("dc", "c")).select("a", "b", "c")
 
 
+def out_lists(directed: KeyedRows) -> DataFrame:
+    """(a, bs): the ends of the edges of ``directed`` (a, b, db) from a, in the order of degrees."""
+    ends = F.sort_array(F.collect_list(F.struct("db", "b")))  # at most sqrt(2 * edges)
+    return directed.cold.groupBy("a").agg(F.transform(ends, lambda x: x["b"]).alias("bs"))
+
+
+def wedge_lists(lists: DataFrame) -> DataFrame:
+    """(a, b, cs): the wedges a -> b, a -> c of ``lists`` (a, bs), a row for each edge that is the first of some."""
+    first = lists.select("a", "bs", F.posexplode("bs").alias("i", "b")).where(F.col("i") + 1 < F.size("bs"))
+    return first.select("a", "b", F.slice("bs", F.col("i") + 2, F.size("bs")).alias("cs"))
+
+
 def triangles(edges: DataFrame) -> DataFrame:
     """Each triangle once, as (a, b, c).
 
     Edges point from the end with fewer neighbours to the other, so no vertex has more than sqrt(2 * edges)
-    outgoing ones. Two of them are a wedge, a row of its own, and those whose ends are joined by an edge stay. Edges
-    lie in buckets of their first end, so wedges are made where they lie.
+    outgoing ones. Two of them are a wedge, and those whose ends are joined by an edge stay. Edges lie in buckets of
+    their first end, so wedges are made where they lie; the other ends of an edge's wedges move as one list to the
+    edges from its second end, which stay where they are.
     """
     flat = materialise(canonical(edges))  # degrees and both joins read it
     degree = degrees(flat).select("id", "degree")
@@ -281,8 +294,9 @@ def triangles(edges: DataFrame) -> DataFrame:
         "a",
         hot_share=float("inf"),  # no vertex is hot in this direction
     )
-    closing = directed.cold.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    found = materialise(wedges(directed).join(closing, ["b", "c"], "left_semi").select("a", "b", "c"))
+    lists = out_lists(directed)
+    closed = wedge_lists(lists).join(lists.select(F.col("a").alias("b"), F.col("bs").alias("ends")), "b")
+    found = materialise(closed.select("a", "b", F.explode(F.array_intersect("cs", "ends")).alias("c")))
     directed.release()
     remove(flat.sparkSession, flat.stored_at)
     return found

@@ -210,3 +210,16 @@ def test_triangles_of_a_random_graph(spark):
     flat = {tuple(sorted(p)) for p in pairs}
     want = sorted(t for t in itertools.combinations(range(40), 3) if all(p in flat for p in itertools.combinations(t, 2)))
     assert sorted(tuple(sorted(r)) for r in G.triangles(edges).collect()) == want
+
+
+def test_wedges_move_as_lists(spark, shuffled_joins):
+    """A row per edge is shuffled, and not a row per wedge; the lists that close them stay in their buckets."""
+    pairs = [(a, b) for a in range(30) for b in range(a + 1, 30)]
+    directed = KeyedRows(spark.createDataFrame([(a, b, b) for a, b in pairs], "a long, b long, db long"), "a", buckets=2, hot_share=float("inf"))
+    lists = G.out_lists(directed)
+    assert "Exchange" not in lists._jdf.queryExecution().executedPlan().toString()
+    made = G.wedge_lists(lists)
+    assert made.count() == len(pairs) - 29  # the last edge of each vertex is the first of no wedge
+    assert rows(made.select("a", "b", F.explode("cs").alias("c"))) == rows(G.wedges(directed))
+    closed = made.join(lists.select(F.col("a").alias("b"), "bs"), "b")
+    assert closed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1

@@ -16,6 +16,7 @@ import heapq
 import json
 import re
 import zlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,6 +33,8 @@ CAPACITY = 4096
 END_ID = 2
 MAX_PIECE = 512
 GROUP_WINDOWS = 128
+#: Bytes of text that are encoded at a time, unless one text has more.
+TEXT_AT_ONCE = 4 << 20
 
 # Fixed values of the tokenizer's format: its byte alphabet, its split pattern, white space.
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -185,6 +188,17 @@ def cuts(total: int, capacity: int, max_piece: int) -> list[tuple[int, int]]:
     return out
 
 
+def parts_of(batch: pa.RecordBatch, most: int = TEXT_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """``batch`` in consecutive parts whose texts have at most ``most`` bytes together, or one row."""
+    sizes = pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, start = np.cumsum(sizes), 0
+    while start < batch.num_rows:
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def pieces(
     docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = END_ID, capacity: int = CAPACITY,
     max_piece: int = MAX_PIECE, with_ids: bool = True,
@@ -195,7 +209,8 @@ def pieces(
 
     def run(batches):
         words = encoder(tokenizer)
-        for batch in batches:
+        # what encoding holds is many times its texts, and every core has a worker of its own
+        for batch in (part for whole in batches for part in parts_of(whole)):
             rows = []
             for doc_id, ids in zip(batch["doc_id"].to_pylist(), words.encode(batch["text"].to_pylist())):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")

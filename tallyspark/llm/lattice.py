@@ -58,11 +58,13 @@ class Pieces:
     def word_pattern(self) -> str:
         """A word: space marks and what follows of characters that longer pieces hold, or one other character."""
         joined = sorted({c for piece, _, _ in self.rows if len(piece) > 1 for c in piece} - {SPACE})
-        near = "".join(re.escape(c) if c.isascii() else c for c in joined if c < "\u0250")
-        far = "".join(c for c in joined if c >= "\u0250")
-        # the many characters of other scripts are tried for such characters alone, and not where a space mark ends a word
-        letters = f"[{near}[[^\\x00-\\u024f{SPACE}]&&[{far}]]]" if far else f"[{near}]"
-        return f"{SPACE}+{letters}*|{letters}+|(?s)."
+        near = "".join(re.escape(c) if c.isascii() else c for c in joined if c < "\u0100")
+        far = "".join(c for c in joined if c >= "\u0100")
+        # runs of Latin-1 by a class of bits alone; the many characters of other scripts are a chain of tests, tried where
+        # a run ends, for such characters and not for a space mark
+        runs = [f"[{near}]++"] * bool(near) + [f"[[^\\x00-\\xff{SPACE}]&&[{far}]]++"] * bool(far)
+        letters = f"(?:{'|'.join(runs or ['(?!)'])})"
+        return f"{SPACE}++{letters}*+|{letters}++|(?s)."
 
 
 def literal_array(values: list, kind: str) -> Column:

@@ -1,7 +1,8 @@
 """Near copies by the Jaccard similarity of their sets of word shingles.
 
-Fingerprints of 64 bits cannot propose texts of similarity 0.8: those differ in ten bits on average and in
-up to about twenty, and equal blocks of so wide a radius hold three bits each. Here ``BANDS`` keys per text propose,
+The tables of distances of ``simhash.links``, over fingerprints of the sets, propose the close copies. Fingerprints of
+64 bits cannot propose all texts of similarity 0.8: those differ in ten bits on average and in up to about twenty, and
+equal blocks of so wide a radius hold three bits each. So ``BANDS`` keys per text propose as well,
 each made of ``ROWS`` minimum hashes: two texts of similarity s share none with probability
 (1 - s**ROWS)**BANDS, which is 5e-6 at 0.8 and less above. Every proposed link is then verified on the whole sets.
 
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructType
 
 from ..session import materialise
+from . import simhash
 from .components import connected
 from .simhash import group_starts, named_apart, pivots
 
@@ -78,19 +80,20 @@ def _signed(values: np.ndarray) -> np.ndarray:
 
 
 def with_bands(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``docs`` with _set, a hash of the set of shingles, and _bands."""
+    """``docs`` with _set, a hash of the set of shingles, _fp, its fingerprint, and _bands."""
     import xxhash
 
-    source = docs.drop("_set", "_bands")
-    schema = StructType(source.schema.fields[:]).add("_set", "long").add("_bands", ArrayType(LongType()))
+    source = docs.drop("_set", "_fp", "_bands")
+    schema = StructType(source.schema.fields[:]).add("_set", "long").add("_fp", "long").add("_bands", ArrayType(LongType()))
 
     def run(batches):
         for batch in batches:
             found = [shingles(t, shingle) for t in batch["text"].to_pylist()]
             sets = _signed(np.array([xxhash.xxh64_intdigest(h.tobytes(), SEED) for h in found], np.uint64))
+            prints = _signed(np.array([set_fingerprint(h) for h in found], np.uint64))
             bands = [_signed(np.array(band_keys(h), np.uint64)) for h in found]
-            columns = [pa.array(sets), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "_set", "_bands"])
+            columns = [pa.array(sets), pa.array(prints), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "_set", "_fp", "_bands"])
 
     return source.mapInArrow(run, schema)
 
@@ -200,16 +203,28 @@ def open_links(members: DataFrame, sets: DataFrame, similarity: float, tile: int
     return placed.mapInPandas(run, "a long, b long").distinct()
 
 
+def fingerprint_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b), a > b, of ``nodes`` (node, fp) that ``simhash.links`` proposes: each node with the first of its
+    fingerprint, and the first of a fingerprint with that of the smallest one it reaches."""
+    first = materialise(nodes.groupBy("fp").agg(F.min("node").alias("first"), F.count("*").alias("n")))
+    equal = nodes.join(first.where("n > 1"), "fp").where("node <> first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    reached = simhash.links(first.select("fp")).distinct()
+    named = reached.join(first.select(F.col("fp").alias("a"), F.col("first").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("first").alias("y")), "b")
+    return equal.unionByName(named.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))).distinct()
+
+
 def links(nodes: DataFrame, texts: DataFrame, similarity: float = SIMILARITY, shingle: int = SHINGLE, tile: int = TILE) -> DataFrame:
-    """Verified links (a, b) between ``nodes`` (node, bands): their components are those of all pairs as similar."""
+    """Verified links (a, b) between ``nodes`` (node, fp, bands): their components are those of all pairs as similar."""
+    close = materialise(fingerprint_pairs(nodes.select("node", "fp")))
     keyed = nodes.select("node", F.explode("bands").alias("key"))
     shared = materialise(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
     members = materialise(keyed.join(shared, "key"))
-    needed = materialise(members.groupBy("node").agg(F.sum("n").alias("met")))
+    meetings = members.select("node", "n").unionByName(close.select(F.explode(F.array("a", "b")).alias("node"), F.lit(0).cast("long").alias("n")))
+    needed = materialise(meetings.groupBy("node").agg(F.sum("n").alias("met")))
     sets = materialise(with_shingles(texts.join(needed, "node", "left_semi"), shingle))
     centres = members.join(needed, "node").groupBy("key").agg(F.max(F.struct("met", "node")).getField("node").alias("centre"))
     stars = members.join(centres, "key").where("node <> centre").select(F.greatest("node", "centre").alias("a"), F.least("node", "centre").alias("b"))
-    found = materialise(verified(stars.distinct(), sets, similarity))
+    found = materialise(verified(stars.unionByName(close).distinct(), sets, similarity))
     root = materialise(connected(found))
     named = materialise(members.join(root, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")))
     several = named.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
@@ -223,10 +238,10 @@ def keep_first(docs: DataFrame, similarity: float = SIMILARITY, shingle: int = S
     stored = materialise(with_bands(own, shingle).withColumn("_row", F.monotonically_increasing_id()))
     order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("id"), F.col("_row").alias("row"))
     nodes = materialise(
-        stored.groupBy(F.col("_set").alias("node")).agg(F.min(order).alias("first"), F.first("_bands").alias("bands"))
+        stored.groupBy(F.col("_set").alias("node")).agg(F.min(order).alias("first"), F.first("_fp").alias("fp"), F.first("_bands").alias("bands"))
     )
     texts = stored.join(nodes.select("node", F.col("first.row").alias("_row")), "_row").select("node", "text")
-    root = connected(links(nodes.select("node", "bands"), texts, similarity, shingle))
+    root = connected(links(nodes.select("node", "fp", "bands"), texts, similarity, shingle))
     grouped = nodes.select("node", "first").join(root, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
     return stored.join(kept, "_row", "left_semi").select(*own.columns).toDF(*names)

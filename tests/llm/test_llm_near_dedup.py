@@ -105,3 +105,32 @@ def test_tiles_find_what_one_group_finds():
     whole = {tuple(sorted(p)) for p in jaccard.group_links(fps, table, signed, np.arange(7), 7, 0.8, 64)}
     assert {frozenset(x for p in whole for x in p if (x in (4, 6)) == side) for side in (False, True)} == {frozenset({0, 1, 2}), frozenset({4, 6})}
     assert jaccard.group_links(fps, table, signed, np.arange(7), 1, 0.8, 64) == [(0, k) for k in (1, 2)]
+
+
+def test_distance_tables_propose_close_copies_by_themselves(spark):
+    rng = random.Random(11)
+    texts = []
+    for _ in range(15):
+        words = [f"w{rng.randrange(5000)}" for _ in range(400)]
+        for k in (0, 1, 1, 2):
+            own = list(words)
+            for i in rng.sample(range(400), k):
+                own[i] = f"v{rng.randrange(5000)}"
+            texts.append(" ".join(own))
+    texts += ["", "one", "two words", None]
+    made = jaccard.with_bands(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    rows = {r._set: r for r in made.collect()}
+    nodes = made.select(F.col("_set").alias("node"), F.col("_fp").alias("fp"), F.array().cast("array<long>").alias("bands")).distinct()
+    found = jaccard.links(nodes, made.select(F.col("_set").alias("node"), "text").dropDuplicates(["node"])).collect()
+
+    def alike(a, b):
+        x, y = plain_shingles(rows[a].text), plain_shingles(rows[b].text)
+        return len(x & y) / len(x | y) >= 0.8
+
+    def bits(a, b):
+        return ((rows[a]._fp ^ rows[b]._fp) & (1 << 64) - 1).bit_count()
+
+    assert all(alike(r.a, r.b) for r in found)
+    near = [(a, b) for a, b in combinations(sorted(rows), 2) if rows[a].text and bits(a, b) <= 3 and alike(a, b)]
+    linked = {x for r in found for x in r}
+    assert len(near) >= 10 and all(a in linked and b in linked for a, b in near)

@@ -1,33 +1,52 @@
-"""SentencePiece encoding and decoding over a relational lattice of pieces.
+"""SentencePiece encoding and decoding over a lattice of pieces.
 
 Texts are escaped (a space is ``▁``, and one is put in front) and cut into words, where no piece crosses
-a cut: before a space mark, and around characters that occur in no longer piece. Words are counted once
-over the whole table, and a text sends each of its words once, with the places where it occurs; every substring of a word up to the longest piece is a row, an equi-join with
-the piece table finds the edges of the lattice, and they are grouped by word. A higher-order fold then
-picks the path, and the words' ids are joined back to the texts.
+a cut: before a space mark, and around characters that occur in no longer piece. Every substring of a word that is
+in the piece table is an edge of the lattice, edges are grouped by word, and a fold picks the path.
 
 For a unigram model the path is the one of highest total score (``viterbi``). In a merge model (BPE) the
 scores are merge ranks, not log-probabilities, and the best total is another path than the model's; there
 the fold merges, again and again, the edge of best score that spans two adjacent symbols (``merges``).
 Characters without a piece become the ids of their UTF-8 bytes.
 
+There are two forms. ``encode`` is one pass over the texts without a shuffle: each task keeps the ids of the words
+it has met, up to ``KNOWN`` words, and makes the lattice of many new words at a time in arrays (``Lattice``). A word that several
+tasks meet is folded in each. ``encode_rows`` is made of rows alone, for any path: words are counted once over the whole table, an equi-join of all their substrings with
+the piece table finds the edges, a higher-order fold picks the path, and the ids are joined back to the texts; that
+moves several times the text.
+
 Defined results: a null text has null ids, an empty one an empty array; repeated rows are encoded each;
 equal scores go to the leftmost edge; an empty table gives no rows; further columns are kept, except
-those with the names of results. A row is told from others by a number given when it is first stored.
+those with the names of results.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
 import re
+from collections import defaultdict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from ..session import materialise
 
 SPACE = "▁"
+#: Words whose ids a task keeps; beyond them it starts anew.
+KNOWN = 1 << 18
+#: Bytes of text that are encoded at a time, unless one text has more.
+TEXT_AT_ONCE = 1 << 20
+#: Code points of words whose lattice is made at a time, unless one word has more.
+POINTS_AT_ONCE = 1 << 18
+#: Length from which a word is folded alone.
+LONG = 512
 
 
 @dataclass(frozen=True)
@@ -55,9 +74,13 @@ class Pieces:
                 rows.append((piece, i, model.get_score(i)))
         return cls(rows, byte_ids, texts, max((len(r[0]) for r in rows), default=1))
 
+    def joined(self) -> list[str]:
+        """The characters that longer pieces hold, without the space mark."""
+        return sorted({c for piece, _, _ in self.rows if len(piece) > 1 for c in piece} - {SPACE})
+
     def word_pattern(self) -> str:
         """A word: space marks and what follows of characters that longer pieces hold, or one other character."""
-        joined = sorted({c for piece, _, _ in self.rows if len(piece) > 1 for c in piece} - {SPACE})
+        joined = self.joined()
         near = "".join(re.escape(c) if c.isascii() else c for c in joined if c < "\u0100")
         far = "".join(c for c in joined if c >= "\u0100")
         # runs of Latin-1 by a class of bits alone; the many characters of other scripts are a chain of tests, tried where
@@ -66,6 +89,180 @@ class Pieces:
         letters = f"(?:{'|'.join(runs or ['(?!)'])})"
         return f"{SPACE}++{letters}*+|{letters}++|(?s)."
 
+    def python_pattern(self) -> re.Pattern:
+        """The same for Python, whose classes are looked up in tables."""
+        letters = f"[{''.join(map(re.escape, self.joined()))}]" if self.joined() else "(?!)"
+        return re.compile(f"{SPACE}+(?:{letters})*|(?:{letters})+|.", re.DOTALL)
+
+
+class Lattice:
+    """Lattices of many words in arrays, and their folds by best-scored merges.
+
+    A substring is found by the steps of a trie over the piece table, all places of all words at once. An edge is a place in
+    the words, one behind the other, and a length; ``spans`` has its node, or 0 where there is none."""
+
+    NONE = 1 << 30  # rank of what is no piece
+
+    def __init__(self, pieces: Pieces):
+        nodes: dict[int, int] = {}
+        ends = []
+        for piece, _, _ in pieces.rows:
+            node = 0
+            for c in piece:
+                node = nodes.setdefault(node << 21 | ord(c), len(nodes) + 1)
+            ends.append(node)
+        self.longest = max(pieces.longest, 2)
+        self.steps = np.array(sorted(nodes), np.int64)
+        self.to = np.array([nodes[step] for step in self.steps.tolist()], np.int64)
+        self.ids = np.full(len(nodes) + 1, -1, np.int32)
+        self.ranks = np.full(len(nodes) + 1, self.NONE, np.int64)
+        self.ids[ends] = [i for _, i, _ in pieces.rows]
+        self.ranks[ends] = np.unique([-score for _, _, score in pieces.rows], return_inverse=True)[1]
+        self.byte_ids = np.array(pieces.byte_ids, np.int32)
+
+    def spans(self, points: np.ndarray, left: np.ndarray) -> np.ndarray:
+        """By length less one and place, the node of the substring; ``left`` code points are left in the word at a place."""
+        found = np.zeros((self.longest, len(points)), np.int32)
+        at, node = np.arange(len(points)), np.zeros(len(points), np.int64)
+        for k in range(self.longest if len(self.steps) else 0):
+            steps = node << 21 | points[at + k]
+            i = np.minimum(np.searchsorted(self.steps, steps), len(self.steps) - 1)
+            there = self.steps[i] == steps
+            at, node = at[there], self.to[i[there]]
+            found[k, at] = node
+            more = left[at] > k + 1
+            at, node = at[more], node[more]
+        return found
+
+    def fold(self, spans: np.ndarray, left: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """For each place, the length of the symbol that starts there, or 0.
+
+        A key is the rank and the place of the edge that spans a symbol and the next one. Each round takes the least key of every
+        word, so the best score, or the leftmost of equal ones; a long word alone takes them from a heap."""
+        size, before = np.ones(len(left), np.int64), np.arange(-1, len(left) - 1)
+        before[starts] = -1
+
+        def key(at: np.ndarray) -> np.ndarray:
+            inside = size[at] < left[at]
+            both = size[at] + np.where(inside, size[np.where(inside, at + size[at], at)], 0)
+            rank = self.ranks[spans[np.minimum(both, self.longest) - 1, at]]
+            return np.where(inside & (both <= self.longest), rank, self.NONE) << 32 | at
+
+        keys = key(np.arange(len(left)))
+
+        def merge(at: np.ndarray) -> np.ndarray:
+            """Merges the symbols at ``at``, of different words, with the next ones; returns the places with a new key."""
+            second = at + size[at]
+            size[at] += size[second]
+            size[second] = 0
+            keys[second] = self.NONE << 32
+            follows = size[at] < left[at]
+            before[(at + size[at])[follows]] = at[follows]
+            changed = np.concatenate([at, before[at][before[at] >= 0]])
+            keys[changed] = key(changed)
+            return changed
+
+        def places(best: np.ndarray) -> np.ndarray:
+            return best[best < self.NONE << 32] & 0xFFFFFFFF
+
+        if len(starts) > 1 or len(left) < LONG:
+            while len(at := places(np.minimum.reduceat(keys, starts))):
+                merge(at)
+            return size
+        heap = keys[keys < self.NONE << 32].tolist()
+        heapq.heapify(heap)
+        while heap:
+            best = heapq.heappop(heap)
+            at = best & 0xFFFFFFFF
+            if keys[at] == best:
+                for k in keys[merge(np.array([at]))].tolist():
+                    if k < self.NONE << 32:
+                        heapq.heappush(heap, k)
+        return size
+
+    def some(self, words: list[str], lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the words, and how many each has."""
+        points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        ends = np.cumsum(lengths)
+        left = np.repeat(ends, lengths) - np.arange(len(points))
+        spans = self.spans(points, left)
+        size = self.fold(spans, left, ends - lengths)
+        at = np.flatnonzero(size)
+        ids = self.ids[spans[size[at] - 1, at]]
+        lacking = np.flatnonzero(ids < 0)
+        takes = np.ones(len(at), np.int64)
+        as_bytes = [chr(points[at[i]]).encode() for i in lacking]
+        takes[lacking] = [len(b) for b in as_bytes]
+        out = np.repeat(ids, takes)
+        for place, b in zip((np.cumsum(takes) - takes)[lacking].tolist(), as_bytes):
+            out[place : place + len(b)] = self.byte_ids[list(b)]
+        per_place = np.zeros(len(points), np.int64)
+        per_place[at] = takes
+        return out, np.add.reduceat(per_place, ends - lengths)
+
+    def words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of the words, which are not empty, and for each word where its ids begin and how many they are."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        order = np.argsort(lengths, kind="stable")  # words of one length take about as many rounds
+        total = np.cumsum(lengths[order])
+        ids, counts, first = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], 0
+        while first < len(order):
+            until = total[first] - lengths[order[first]] + POINTS_AT_ONCE
+            last = max(first + 1, int(np.searchsorted(total, until, "right")))
+            if lengths[order[last - 1]] >= LONG:  # the long ones one by one
+                last = max(first + 1, int(np.searchsorted(lengths[order], LONG)))
+            some, n = self.some([words[i] for i in order[first:last].tolist()], lengths[order[first:last]])
+            ids.append(some)
+            counts.append(n)
+            first = last
+        sorted_counts = np.concatenate(counts)
+        starts, own = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        starts[order], own[order] = np.cumsum(sorted_counts) - sorted_counts, sorted_counts
+        return np.concatenate(ids), starts, own
+
+
+class TextEncoder:
+    """Ids of texts, with the ids of the words met so far."""
+
+    def __init__(self, pieces: Pieces, lattice: Lattice, most: int = KNOWN):
+        self.lattice, self.most, self.pattern = lattice, most, pieces.python_pattern()
+        self.numbers: dict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers.clear()
+        self.ids, self.starts, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def texts(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and where each text ends."""
+        if len(self.numbers) > self.most:
+            self.forget()
+        cut, numbers, ends = self.pattern.findall, [np.zeros(0, np.int64)], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):  # the words of one text at a time
+            words = cut(SPACE + text.replace(" ", SPACE)) if text else []
+            numbers.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
+            ends[i] = len(words)
+        new = list(itertools.islice(self.numbers, len(self.counts), None))
+        ids, starts, counts = self.lattice.words(new)
+        self.starts = np.concatenate([self.starts, starts + len(self.ids)])
+        self.ids, self.counts = np.concatenate([self.ids, ids]), np.concatenate([self.counts, counts])
+        placed = np.concatenate(numbers)
+        takes = self.counts[placed]
+        after = np.concatenate([[0], np.cumsum(takes)])
+        out = self.ids[np.repeat(self.starts[placed] - after[:-1], takes) + np.arange(after[-1])]
+        return out, after[np.cumsum(ends)]
+
+
+def slices(batch: pa.RecordBatch, text: str, at_once: int) -> Iterator[pa.RecordBatch]:
+    """``batch`` in slices of about ``at_once`` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    total, first = np.cumsum(sizes, dtype=np.int64), 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(total, total[first] - sizes[first] + at_once, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
 
 def literal_array(values: list, kind: str) -> Column:
     """An array constant, looked up by place."""
@@ -215,8 +412,28 @@ def placed_words(texts: DataFrame, at_once: int = 100_000) -> DataFrame:
     return texts.select("_row", "words").mapInArrow(run, "_row long, word string, places array<int>")
 
 
-def encode(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "ids", path=merges) -> DataFrame:
-    """``texts`` with the ids of ``text``."""
+def encode(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "ids") -> DataFrame:
+    """``texts`` with the ids of ``text`` in a merge model, in one pass over the texts."""
+    kept = texts.drop(name)
+    lattice = Lattice(pieces)
+
+    def run(batches):
+        encoder = TextEncoder(pieces, lattice)
+        for batch in batches:
+            for part in slices(batch, text, TEXT_AT_ONCE):
+                column = part.column(text)
+                ids, ends = encoder.texts(column.to_pylist())
+                offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()), mask=column.is_null())
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, name])
+
+    return kept.mapInArrow(run, StructType([*kept.schema.fields, StructField(name, ArrayType(IntegerType()))]))
+
+
+def encode_rows(texts: DataFrame, pieces: Pieces, text: str = "text", name: str = "ids", path=merges) -> DataFrame:
+    """``texts`` with the ids of ``text``, by ``path``, with the lattice of all words in rows.
+
+    A row is told from others by a number given when it is first stored."""
     source = materialise(texts.drop(name).withColumn("_row", F.monotonically_increasing_id()))
     found = F.regexp_extract_all(escaped(F.col(text)), F.lit(pieces.word_pattern()), F.lit(0))
     cut = source.where(F.col(text).isNotNull()).select("_row", found.alias("words"))

@@ -103,7 +103,37 @@ class Model:
         return best, score, two[:, 1] - two[:, 0] < CLEAR_GAP
 
 
-def fit(features: np.ndarray, labels: list[str], ridge: float = RIDGE) -> Model | None:
+@dataclass(frozen=True)
+class Rows:
+    """Scaled features of rows: of each, the places that are not zero, ascending, and their values. A table of all
+    places would be most of what the driver holds."""
+
+    ends: np.ndarray  # where each row begins, and the last ends
+    places: np.ndarray
+    values: np.ndarray
+
+    def dense(self, rows: np.ndarray, low: int = 0, high: int = DIMS) -> np.ndarray:
+        """The places from ``low`` to ``high`` of some rows."""
+        out = np.zeros((len(rows), high - low), np.float32)
+        for row, a, b in zip(out, self.ends[rows], self.ends[rows + 1]):
+            first, last = a + np.searchsorted(self.places[a:b], (low, high))
+            row[self.places[first:last] - low] = self.values[first:last]
+        return out
+
+
+def gathered(counts: list[tuple[np.ndarray, np.ndarray]]) -> Rows:
+    """Rows of (places, counts at them)."""
+    ends = np.cumsum([0, *(len(own) for own, _ in counts)])
+    places, values = np.zeros(ends[-1], np.int32), np.zeros(ends[-1], np.float32)
+    row = np.zeros(DIMS, np.float32)
+    for (own, found), a, b in zip(counts, ends[:-1], ends[1:]):
+        row[:] = 0
+        row[own] = found
+        places[a:b], values[a:b] = own, scaled(row)[own]
+    return Rows(ends, places, values)
+
+
+def fit(features: Rows, labels: list[str], ridge: float = RIDGE) -> Model | None:
     """Least-squares classifiers per bit; every third row measures how far each bit is trusted."""
     langs = sorted(set(labels))
     if not langs:
@@ -117,25 +147,31 @@ def fit(features: np.ndarray, labels: list[str], ridge: float = RIDGE) -> Model
     def solve(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         t = code[y[rows]].astype(np.float64)
         bias = t.mean(0)
-        # a part of the features at a time in double precision, so that they are not held twice
-        parts = [slice(at, at + 1024) for at in range(0, features.shape[1], 1024)]
+        # a part of the features, and of their products, at a time
+        parts = [(at, at + 1024) for at in range(0, DIMS, 1024)]
         inner = ridge * np.eye(len(rows))
         for part in parts:
-            x = features[:, part][rows].astype(np.float64)
-            inner += x @ x.T
+            x = features.dense(rows, *part).astype(np.float64)
+            for at in range(0, len(rows), 256):
+                inner[at : at + 256] += x[at : at + 256] @ x.T
+            del x
         dual = np.linalg.solve(inner, t - bias)
-        weights = np.concatenate([features[:, part][rows].astype(np.float64).T @ dual for part in parts])
+        del inner
+        weights = np.concatenate([features.dense(rows, *part).astype(np.float64).T @ dual for part in parts])
         return weights.astype(np.float32), bias.astype(np.float32)
 
     weights, bias = solve(np.flatnonzero(~held))
-    right = ((features @ weights + bias) * code[y] > 0) & held[:, None]
+    right = np.zeros((len(y), code.shape[1]), bool)
+    for at in range(0, len(y), 256):
+        rows = np.flatnonzero(held[at : at + 256]) + at
+        right[rows] = (features.dense(rows) @ weights + bias) * code[y[rows]] > 0
     trust = np.array([(right[y == i].sum(0) + 1) / ((held & (y == i)).sum() + 2) for i in range(len(langs))])
     trust = (trust / trust.sum(1, keepdims=True)).astype(np.float32)
     weights, bias = solve(np.arange(len(y)))
     return Model(langs, code, weights, bias, trust)
 
 
-def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.ndarray, list[str]]:
+def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Rows, list[str]]:
     """Scaled features and languages of the bounded sample of ``docs`` (doc_id, text, lang)."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = rows.groupBy("lang").count()
@@ -163,16 +199,12 @@ def training_rows(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[np.n
             )
 
     sampled = rows.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi").select("lang", "text")
-    table = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow().combine_chunks()
+    table = sampled.mapInArrow(run, "lang string, at array<int>, n array<int>").toArrow()
     at, n = (table[c].combine_chunks() for c in ("at", "n"))
     ends, places, counts = at.offsets.to_numpy(), at.values.to_numpy(), n.values.to_numpy()
     rows = [(lang, places[a:b], counts[a:b]) for lang, a, b in zip(table["lang"].to_pylist(), ends[:-1], ends[1:])]
     rows.sort(key=lambda r: (r[0], r[1].astype(">i4").tobytes(), r[2].astype(">i4").tobytes()))
-    features = np.zeros((len(rows), DIMS), np.float32)
-    for row, (_, own, found) in zip(features, rows):
-        row[own] = found
-        row[:] = scaled(row)
-    return features, [r[0] for r in rows]
+    return gathered([r[1:] for r in rows]), [r[0] for r in rows]
 
 
 def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model | None:
